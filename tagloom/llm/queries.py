@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import frequent, sample, seen
+from tagloom.llm import frequent, names, sample, seen
 from tagloom.session import table
 
 SAMPLE_SIZE = 50_000
@@ -40,9 +40,22 @@ def p4_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequent.most_frequent(table(spark, sf_dir, "fastq_records"), F.upper("seq"), 1000, "seq")
 
 
+def _reference(spark: SparkSession, sf_dir: str) -> list[str]:
+    return names.reference_names(table(spark, sf_dir, "database_genomes"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "rna_species_abundance")
+    return names.map_rows(rows, _reference(spark, sf_dir), "entry_id").select("entry_id", F.col("canonical").alias("species"))
+
+
+def p5_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.unmatched(table(spark, sf_dir, "rna_species_abundance"), _reference(spark, sf_dir))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_error_rate": p2_error_rate, "p3_sample": p3_sample,
-    "p4_found": p4_found, "p4_top": p4_top,
+    "p4_found": p4_found, "p4_top": p4_top, "p5_found": p5_found, "p5_unmatched": p5_unmatched,
 }
 
 _KEY = r"""nullif(regexp_replace(regexp_extract(id, '^[\s\x0b\x{85}\p{Z}]*[@>]*[\s\x0b\x{85}\p{Z}]*([^\s\x0b\x{85}\p{Z}]+)', 1), '/[12]\z', ''), '')"""
