@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import frequent, names, sample, seen
+from tagloom.llm import encode, frequent, names, sample, seen
 from tagloom.session import table
 
 SAMPLE_SIZE = 50_000
@@ -53,9 +53,14 @@ def p5_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.unmatched(table(spark, sf_dir, "rna_species_abundance"), _reference(spark, sf_dir))
 
 
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.encode_corpus(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_error_rate": p2_error_rate, "p3_sample": p3_sample,
     "p4_found": p4_found, "p4_top": p4_top, "p5_found": p5_found, "p5_unmatched": p5_unmatched,
+    "p6_ids": p6_ids,
 }
 
 _KEY = r"""nullif(regexp_replace(regexp_extract(id, '^[\s\x0b\x{85}\p{Z}]*[@>]*[\s\x0b\x{85}\p{Z}]*([^\s\x0b\x{85}\p{Z}]+)', 1), '/[12]\z', ''), '')"""
