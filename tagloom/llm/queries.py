@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import encode, frequent, names, sample, seen
+from tagloom.llm import encode, frequent, leak, lookalike, names, sample, seen
 from tagloom.session import table
 
 SAMPLE_SIZE = 50_000
@@ -57,10 +57,33 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return leak.without_leaks(docs, p7_leaks(spark, sf_dir)).select("doc_id")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.same_looking_pairs(table(spark, sf_dir, "documents"))
+
+
+def p8_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lookalike.canonical_texts(docs, lookalike.count_spellings(docs))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_error_rate": p2_error_rate, "p3_sample": p3_sample,
     "p4_found": p4_found, "p4_top": p4_top, "p5_found": p5_found, "p5_unmatched": p5_unmatched,
-    "p6_ids": p6_ids,
+    "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks": p7_leaks, "p7_clean": p7_clean,
+    "p8_found": p8_found, "p8_canonical": p8_canonical,
 }
 
 _KEY = r"""nullif(regexp_replace(regexp_extract(id, '^[\s\x0b\x{85}\p{Z}]*[@>]*[\s\x0b\x{85}\p{Z}]*([^\s\x0b\x{85}\p{Z}]+)', 1), '/[12]\z', ''), '')"""
