@@ -158,7 +158,12 @@ def count_spellings(df: DataFrame, text_col: str = "text", size: int = VOCABULAR
         return pd.DataFrame({"word": [w for w, _ in kept], "n": [k for _, k in kept]}).astype({"word": "object", "n": "int64"})
 
     words = df.select(F.col(text_col).alias("text")).where("text is not null").mapInPandas(count, "word string, n long")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(size)
+    counted = checkpointed(words.groupBy("word").agg(F.sum("n").alias("n")))
+    # a bound below the wanted counts first, else each partition would send its own top to the driver
+    bound, distinct = 0, counted.count()
+    if distinct > size:
+        bound = counted.agg(F.percentile_approx("n", max(0.0, 1 - 1.05 * size / distinct), 10_000)).first()[0]
+    top = counted.where(F.col("n") >= bound).orderBy(F.col("n").desc(), "word").limit(size)
     return {r["word"]: r["n"] for r in top.collect()}
 
 

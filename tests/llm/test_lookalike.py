@@ -59,3 +59,10 @@ def test_pairs_equal_brute_force(spark):
     forms = lookalike.canonical_texts(df, {}).collect()
     assert len(forms) == len(rows) and [r["canonical"] for r in forms if r["doc_id"] in (100, 101)] == [None, ""]
     assert lookalike.count_spellings(df, size=2) == {"blade": sum("blade" in t for _, t, _, _ in rows if t), "rotor": sum("rotor" in t for _, t, _, _ in rows if t)}
+
+
+def test_spellings_are_the_most_frequent(spark):
+    df = spark.range(3000).selectExpr("id", "repeat(concat('w', translate(cast(id as string), '0123456789', 'abcdefghij'), ' '), cast(id % 7 + 1 as int)) as text")
+    got = lookalike.count_spellings(df, size=300)
+    counts = {f"w{str(i).translate(str.maketrans('0123456789', 'abcdefghij'))}": i % 7 + 1 for i in range(3000)}
+    assert got == dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:300])
