@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tagloom.plans import parsing
+from tagloom.plans import parsing, tags
 
-_MODULES = (parsing,)
+_MODULES = (parsing, tags)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
