@@ -14,10 +14,25 @@ from tagloom.functions import seq as S
 
 
 def hamming(a: Column, b: Column) -> Column:
-    """Differing places of two sequences of equal length."""
+    """Differing places of two sequences of equal length, letter by letter."""
     return F.aggregate(F.sequence(F.lit(1), F.length(a)), F.lit(0), lambda n, i: n + (F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1))).cast("int"))
 
 
+def _codes(seq: Column) -> Column:
+    """Two longs of two bits a base for up to 62 bases of ACGT; null for other sequences."""
+    half = [F.conv(F.concat(F.lit("0"), F.translate(F.substring(seq, at, 31), "ACGT", "0123")), 4, 10).cast("long") for at in (1, 32)]
+    return F.when(seq.rlike(r"\A[ACGT]{1,62}\z"), F.struct(half[0].alias("x"), half[1].alias("y")))
+
+
+def _code_distance(a: Column, b: Column) -> Column:
+    """Differing bases of two pairs of longs: whole-stage codegen, no lambda."""
+    def differing(name: str) -> Column:
+        x = a[name].bitwiseXOR(b[name])
+        return F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    return differing("x") + differing("y")
+
+
 def _segments(seq: Column, parts: int) -> Column:
     size = F.ceil(F.length(seq) / parts).cast("int")
     return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.struct(i.alias("no"), F.substr(seq, i * size + 1, size).alias("part")))
@@ -32,9 +47,10 @@ def hamming_pairs(queries: DataFrame, references: DataFrame, most: int, both_str
     if both_strands:
         q = q.unionByName(q.select("query", S.reverse_complement(F.col("query")).alias("_text"), F.lit("-").alias("strand")))
     r = references.where(F.col("reference").isNotNull()).select("reference").distinct()
-    qs = q.select("query", "_text", "strand", F.length("_text").alias("n"), F.explode(_segments(F.col("_text"), most + 1)).alias("s"))
-    rs = r.select("reference", F.length("reference").alias("n"), F.explode(_segments(F.col("reference"), most + 1)).alias("s"))
-    close = qs.join(rs, ["n", "s"]).withColumn("distance", hamming(F.col("_text"), F.col("reference"))).where(F.col("distance") <= most)
+    qs = q.select("query", "_text", "strand", _codes(F.col("_text")).alias("_a"), F.length("_text").alias("n"), F.explode(_segments(F.col("_text"), most + 1)).alias("s"))
+    rs = r.select("reference", _codes(F.col("reference")).alias("_b"), F.length("reference").alias("n"), F.explode(_segments(F.col("reference"), most + 1)).alias("s"))
+    distance = F.coalesce(_code_distance(F.col("_a"), F.col("_b")), hamming(F.col("_text"), F.col("reference")))
+    close = qs.join(rs, ["n", "s"]).withColumn("distance", distance).where(F.col("distance") <= most)
     return close.groupBy("query", "reference", "strand").agg(F.min("distance").alias("distance"))
 
 

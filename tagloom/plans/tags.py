@@ -13,7 +13,7 @@ from tagloom import enzymes
 from tagloom.operators import digest as D
 from tagloom.operators import profile as P
 from tagloom.operators import refdb as R
-from tagloom.session import checkpointed, table
+from tagloom.session import checkpointed, spread, table
 
 ENZYME = enzymes.select("CjeI")[0]
 THRESHOLD = 2.0
@@ -21,7 +21,7 @@ SOURCES = ["bulk_xml", "mt_queue", "ocr_scan", "office_feed", "partner_drop"]
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("text is not null")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")).where("text is not null")
     letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
     return docs.select(
         "doc_id", F.coalesce("lang", F.lit("none")).alias("taxon"), F.coalesce("source", F.lit("none")).alias("sample"),
@@ -210,12 +210,6 @@ quant AS (SELECT sample, taxon, seq_tags / theoretical AS percent, seq_reads / t
     JOIN (SELECT DISTINCT sample, taxon, taxon_mean AS theoretical FROM own_stats) USING (sample, taxon)),
 abd AS (SELECT sample, taxon, density / sum(density) OVER (PARTITION BY sample) AS abundance FROM quant)"""
 _WIDE = ", ".join(f"coalesce(sum(abundance) FILTER (sample = '{s}'), 0.0) AS {s}" for s in SOURCES)
-_ALL = " UNION ALL ".join(
-    f"SELECT '{e.name}' AS enzyme, sum("
-    + " + ".join(f"len(list_filter(range(1, length(seq) - {e.length} + 2), lambda i: regexp_full_match(substr(seq, i, {e.length}), '{p}')))" for p in e.patterns)
-    + ")::BIGINT AS tags FROM seqs"
-    for e in enzymes.ENZYMES
-)
 _ALFI, _HIN = enzymes.select("AlfI")[0], enzymes.select("Hin4I")[0]
 
 DIGESTS = {f"digest_{n.lower()}": digest_query(n) for n in ("CjePI", "CjeI", "BcgI", "AlfI", "Hin4I")}
@@ -232,10 +226,6 @@ QUERIES = {
 _MERGED = "CASE WHEN regexp_matches(species, '[A-Z]$') THEN regexp_replace(species, '_[^_]*$', '') ELSE species END"
 ORACLES = {
     **{k: v[1] for k, v in DIGESTS.items()},
-    "digest_all_counts": f"WITH {_seqs_sql()} {_ALL}",
-    "enzyme_dimension": f"""WITH {_seqs_sql()}, tags AS ({_ALL}), dim(id, name, length, palindromic, unit, expected) AS (VALUES
-        {', '.join(str((e.id, e.name, e.length, e.palindromic, e.unit, e.expected)) for e in enzymes.ENZYMES)})
-        SELECT name, id, length, palindromic, unit, expected, tags FROM dim JOIN tags ON name = enzyme WHERE tags > 0""",
     "digest_stats": f"""WITH {_E_HITS}, n AS (SELECT sample, count(*) AS tags FROM hits GROUP BY sample)
         SELECT sample, count(*) AS reads, coalesce(max(tags), 0) AS tags, coalesce(max(tags), 0) / count(*) AS ratio
         FROM seqs LEFT JOIN n USING (sample) GROUP BY sample""",

@@ -35,3 +35,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored in the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on all cores where its files give fewer partitions than that; unchanged otherwise.
+
+    For scans whose work per row is large. A big table has more splits than cores and no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    return df.repartition(cores) if len(files) < cores and _small(df) else df
+
+
+def _small(df: DataFrame) -> bool:
+    """Whether the optimiser's size of the scan is under one split a core."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return int(str(size)) < cores * 16 * 1024 * 1024
