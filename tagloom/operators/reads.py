@@ -55,7 +55,7 @@ def pair_reads(forward: DataFrame, reverse: DataFrame, key: str = "read_id", sal
     if salt == 1:
         return a.join(b, key)
     a = a.withColumn("_salt", F.pmod(F.xxhash64(*a.columns), F.lit(salt)))
-    b = b.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).cast("long"))
+    b = b.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
     return a.join(b, [key, "_salt"]).drop("_salt")
 
 
