@@ -170,8 +170,9 @@ def reference_names(genomes: DataFrame, column: str = "species") -> list[str]:
 def map_values(values: DataFrame, names: list[str], column: str = "species") -> DataFrame:
     """(typed, canonical, how) of the distinct non-null values; canonical null where unmatched."""
     typed = values.select(F.col(column).alias("typed")).where(F.col(column).isNotNull()).groupBy("typed").agg(F.count("*").alias("n"))
-    # a value is a few bytes and costs much time: spread by count, else few tasks hold them all
-    typed = typed.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), "typed")
+    # A value is a few bytes and costs much time: spread by number. By another hash than the
+    # aggregate's, else Spark drops the exchange and merges the partitions by their bytes.
+    typed = typed.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("typed"))
 
     def run(frames):
         matcher = NameMatcher(names)

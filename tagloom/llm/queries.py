@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.functions.seq import canonical_read_id
 from tagloom.llm import encode, frequent, leak, lookalike, names, sample, seen
 from tagloom.session import table
 
@@ -13,7 +14,7 @@ SAMPLE_SIZE = 50_000
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = [
-        seen.arrivals(table(spark, sf_dir, name), side, "arrival_no", seen.canonical_read_id(F.col("id")))
+        seen.arrivals(table(spark, sf_dir, name), side, "arrival_no", canonical_read_id(F.col("id")))
         for side, name in (("forward", "forward_seen"), ("reverse", "reverse_reads"))
     ]
     return sides[0].unionByName(sides[1])

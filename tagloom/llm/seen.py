@@ -74,16 +74,6 @@ class QuotientFilter:
         return QuotientFilter.of_sorted(both, self.quotient_bits, self.remainder_bytes)
 
 
-def canonical_read_id(raw: Column) -> Column:
-    """Blanks around and leading @ and > removed, first token, one final /1 or /2 removed.
-
-    Null where nothing is left.
-    """
-    token = F.regexp_extract(raw, r"\A[\h\v]*+[@>]*+[\h\v]*+([^\h\v]+)", 1)
-    key = F.regexp_replace(token, r"/[12]\z", "")
-    return F.when(key != "", key)
-
-
 def layout(rows: int) -> tuple[int, int, int]:
     """(slice bits, quotient bits, remainder bytes) for so many rows of a side."""
     quotient_and_slice = max(8, math.ceil(math.log2(max(rows, 1) / 0.75 + 1)))

@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tagloom.functions.seq import canonical_read_id
 from tagloom.llm import frequent, sample, seen
 
 
@@ -24,7 +25,7 @@ def test_canonical_read_id(spark):
         None: None, "": None, "  ": None, "@": None, "/1": None, " id　x": "id",
     }
     df = spark.createDataFrame([(k,) for k in cases], "id string")
-    got = [r[0] for r in df.select(seen.canonical_read_id(F.col("id"))).collect()]
+    got = [r[0] for r in df.select(canonical_read_id(F.col("id"))).collect()]
     assert got == list(cases.values())
 
 
