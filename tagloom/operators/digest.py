@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tagloom.enzymes import Enzyme, Motif, motif_regex, reverse_complement
 from tagloom.functions import seq as S
+from tagloom.session import extended
 
 
 def digest(df: DataFrame, enzyme: Enzyme, seq: str = "seq", strict_case: bool = False) -> DataFrame:
@@ -126,7 +127,7 @@ def tiles(contigs: DataFrame, keys: list[str], overlap: int, seq: str = "seq", t
     belongs to the piece in whose first ``tile`` letters it starts. Python slices keep the cutting
     linear in the contig's length.
     """
-    schema = contigs.select(*keys)._jdf.schema().toDDL() + ", tile_start int, tile string"
+    schema = extended(contigs.select(*keys), "tile_start int, tile string")
 
     def cut(frames):
         for pdf in frames:
@@ -143,7 +144,7 @@ def tiles(contigs: DataFrame, keys: list[str], overlap: int, seq: str = "seq", t
 def positional_hits(contigs: DataFrame, keys: list[str], length: int, patterns: dict[str, str], seq: str = "seq", tile: int = TILE) -> DataFrame:
     """(keys, start, strand, hit): overlapping hits of fixed length with their 0-based start."""
     names, regexes = list(patterns), [re.compile(f"(?=({p}))") for p in patterns.values()]
-    schema = contigs.select(*keys)._jdf.schema().toDDL() + ", start int, strand string, hit string"
+    schema = extended(contigs.select(*keys), "start int, strand string, hit string")
 
     def scan(frames):
         for pdf in frames:

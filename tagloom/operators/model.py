@@ -15,6 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import extended
+
 FEATURES = ("ln_coverage", "ln_g", "ln_depth", "ln_share")
 
 
@@ -35,7 +37,7 @@ def predict_forest(model: PipelineModel, features: DataFrame, names: tuple[str,
 def predict_with(predict: Callable[[pd.DataFrame], pd.Series], features: DataFrame, names: tuple[str, ...] = FEATURES, least: float = 0.5) -> DataFrame:
     """L1: the same with a callable that gives a probability for a batch of features."""
     rows = features.na.drop(subset=list(names))
-    schema = rows._jdf.schema().toDDL() + ", prob double, pred int"
+    schema = extended(rows, "prob double, pred int")
 
     def run(frames):
         for pdf in frames:

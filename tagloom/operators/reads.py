@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import seq as S
+from tagloom.session import extended
 
 
 def with_status(reads: DataFrame, quality: int = 20, percent: float = 80, seq: str = "seq", qual: str = "qual") -> DataFrame:
@@ -112,7 +113,7 @@ def merge_pairs(pairs: DataFrame, keys: list[str], least: int = 10, share: float
     Where the reads disagree, the first one's base is kept. Null and empty reads, pairs without an
     overlap and merged reads outside [shortest, longest] are left out.
     """
-    schema = pairs.select(*keys)._jdf.schema().toDDL() + ", merged string, overlap int"
+    schema = extended(pairs.select(*keys), "merged string, overlap int")
 
     def run(frames):
         for pdf in frames:

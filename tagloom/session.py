@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,12 +44,9 @@ def spread(df: DataFrame) -> DataFrame:
     For scans whose work per row is large. A big table has more splits than cores and no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    return df.repartition(cores) if len(files) < cores and _small(df) else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _small(df: DataFrame) -> bool:
-    """Whether the optimiser's size of the scan is under one split a core."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return int(str(size)) < cores * 16 * 1024 * 1024
+def extended(df: DataFrame, columns: str) -> StructType:
+    """The schema of ``df`` with more columns in DDL behind it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(columns).fields])
