@@ -81,3 +81,39 @@ def safe_share(part: Column, whole: Column) -> Column:
 def first_bases(text: Column, n: int = 50) -> Column:
     """The first ``n`` letters of a sequence or a quality."""
     return F.substring(text, 1, n)
+
+
+def tag_key(genome: Column, copies: Column) -> Column:
+    """Eight digits of the genome and four at least of the copies."""
+    return F.concat(F.format_string("%08d", genome), F.format_string("%04d", copies))
+
+
+def key_genome(key: Column) -> Column:
+    """C10."""
+    return F.substring(key, 1, 8).cast("long")
+
+
+def key_copies(key: Column) -> Column:
+    """C10."""
+    return F.substr(key, F.lit(9)).cast("long")
+
+
+def site_name(number: Column) -> Column:
+    """``site`` and nine digits."""
+    return F.format_string("site%09d", number)
+
+
+def site_number(name: Column) -> Column:
+    """The number of a site name; null for other text."""
+    digits = F.regexp_extract(name, r"^site(\d+)$", 1)
+    return F.when(digits != "", digits).cast("long")
+
+
+def safe_name(text: Column) -> Column:
+    """Letters, digits, dot, dash and underscore; runs of others as one underscore, none at the ends."""
+    return F.regexp_replace(F.regexp_replace(text, r"[^A-Za-z0-9._-]+", "_"), r"^_+|_+$", "")
+
+
+def plain_file_name(path: Column) -> Column:
+    """The last part of a path without read-file suffixes."""
+    return F.regexp_replace(F.substring_index(path, "/", -1), r"\.(?:f(?:ast)?q|fa(?:sta)?|fna)(?:\.gz)?$", "")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.functions import seq as S
 from tagloom.operators.approxjoin import best_unique, hamming_pairs
+from tagloom.operators.numbering import numbered
 
 
 def copy_numbers(sites: DataFrame) -> DataFrame:
@@ -67,3 +69,14 @@ def matrix(counts: DataFrame, samples: list[str], least: int = 3, site: str = "s
     """Sites by samples, missing 0; only sites with ``least`` reads in a sample."""
     wide = counts.groupBy(site).pivot(sample, samples).agg(F.sum("n")).fillna(0)
     return wide.where(F.greatest(*[F.col(f"`{s}`") for s in samples], F.lit(0)) >= least)
+
+
+def named_sites(sites: DataFrame, *order: str) -> DataFrame:
+    """Sites with their number and name in the given order."""
+    return numbered(sites, *order, name="site_no").withColumn("site_id", S.site_name(F.col("site_no")))
+
+
+def same_structure(a: dict, b: dict, keys: tuple[str, ...] = ("enzyme", "context", "motif", "start", "left", "right", "shift", "both")) -> None:
+    """Error where two run configurations differ in the read structure."""
+    if wrong := [k for k in keys if a.get(k) != b.get(k)]:
+        raise ValueError(f"the runs differ in {wrong}")

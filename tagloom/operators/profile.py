@@ -131,3 +131,8 @@ def merge_subspecies(features_df: DataFrame, sample: str = "sample", species: st
     return features_df.withColumn("merged", S.merged_name(F.col(species))).groupBy(sample, "merged").agg(
         F.sum("seq_tags").alias("seq_tags"), F.sum("seq_reads").alias("seq_reads")
     ).withColumn("g_score", F.sqrt(F.col("seq_tags") * F.col("seq_reads").cast("double")))
+
+
+def presence(predicted: DataFrame, keys: list[str]) -> DataFrame:
+    """1 where any call of the keys is positive."""
+    return predicted.groupBy(*keys).agg(F.least(F.sum("pred"), F.lit(1)).cast("int").alias("present"))

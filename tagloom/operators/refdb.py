@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.enzymes import Enzyme
 from tagloom.functions import seq as S
 from tagloom.operators.digest import genome_tags
+from tagloom.operators.numbering import numbered
 
 LINEAGE = ("kingdom", "phylum", "tax_class", "tax_order", "family", "genus", "species")
 
@@ -47,18 +48,24 @@ def valid_entries(genomes: DataFrame) -> DataFrame:
 
 
 def with_numbers(genomes: DataFrame, size: int = 30_000, first: int = 0) -> DataFrame:
-    """genome_id (eight digits) in the order of source_id and the shard of each.
-
-    The order is global, so it is taken on the list of genomes (a dimension), never on tags.
-    """
-    from pyspark.sql import Window
-
-    number = (F.row_number().over(Window.orderBy("source_id")) - 1 + first).cast("long")
-    return genomes.withColumn("_n", number).withColumns(
+    """genome_id (eight digits) in the order of source_id and the shard of each."""
+    return numbered(genomes, "source_id", name="_n", first=first).withColumns(
         {"genome_id": S.genome_number(F.col("_n")), "shard": S.shard_boundary(F.col("_n"), size)}
     ).drop("_n")
 
 
+def shard_summary(genomes: DataFrame, size: int = 30_000) -> DataFrame:
+    """(shard, genomes, first_id, last_id) of numbered genomes."""
+    return genomes.groupBy("shard").agg(F.count("*").alias("genomes"), F.min("genome_id").alias("first_id"), F.max("genome_id").alias("last_id"))
+
+
+def stats_mismatches(stats: DataFrame, unique: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """genomes whose written count or mean differs from a recount, or that only one side has."""
+    recount = unique_stats(unique).select("genome_id", F.col("genome_tags").alias("_tags"), F.col("taxon_mean").alias("_mean"))
+    same = (F.col("genome_tags") == F.col("_tags")) & (F.abs(F.col("taxon_mean") - F.col("_mean")) <= tolerance)
+    return stats.join(recount, "genome_id", "full").where(~F.coalesce(same, F.lit(False)))
+
+
 def repeated(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, with their number."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")

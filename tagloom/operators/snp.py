@@ -72,3 +72,21 @@ def site_quality(calls: DataFrame, n_samples: int) -> DataFrame:
 def good_sites(quality: DataFrame, call_rate: float = 0.8, maf: float = 0.05) -> DataFrame:
     """E10."""
     return quality.where((F.col("call_rate") >= call_rate) & (F.col("maf") >= maf))
+
+
+def genotype_rows(places: DataFrame, samples: list[str], sample: str = "sample") -> DataFrame:
+    """(ref_seq, pos, base, line) with one genotype per sample in the given order, separated by blanks."""
+    wide = places.groupBy("ref_seq", "pos", "base").pivot(sample, samples).agg(F.first("gt")).fillna("--", samples)
+    return wide.select("ref_seq", "pos", "base", F.concat_ws(" ", "ref_seq", F.col("pos").cast("string"), "base", *[F.col(f"`{s}`") for s in samples]).alias("line"))
+
+
+def checked_references(tags: DataFrame) -> DataFrame:
+    """Reference tags; running it fails on other letters than ACGT or on several lengths.
+
+    The common length comes from one aggregate, not from comparing rows.
+    """
+    facts = tags.agg(F.min(F.length("tag")).alias("_low"), F.max(F.length("tag")).alias("_high")).first()
+    if facts["_low"] != facts["_high"]:
+        raise ValueError(f"reference tags of {facts['_low']} to {facts['_high']} bases")
+    bad = F.raise_error(F.concat(F.lit("not ACGT: "), F.col("tag")))
+    return tags.where(F.when(F.col("tag").rlike("^[ACGT]+$"), F.lit(True)).otherwise(bad))

@@ -213,6 +213,17 @@ def backbone(spark, sf_dir):
     return G.backbone(refs, calls, calls).groupBy("sample", "gt").agg(F.count("*").alias("n"))
 
 
+def genotype_lines(spark, sf_dir):
+    calls = checkpointed(genotypes(spark, sf_dir).where("gt is not null"))
+    refs = calls.select(F.col("ref_seq").alias("tag")).distinct()
+    return G.genotype_rows(G.backbone(G.checked_references(refs), calls, calls), SOURCES)
+
+
+def named_sites(spark, sf_dir):
+    sites = M.named_sites(D.motif_sites(sequences(spark, sf_dir), CHG, ["doc_id"]), "doc_id", "start")
+    return sites.select("doc_id", "start", "site_id", S.site_number(F.col("site_id")).alias("site_no"))
+
+
 # --- abundance --------------------------------------------------------------------------------
 
 
@@ -294,6 +305,16 @@ def genome_numbers(spark, sf_dir):
     return R.with_numbers(R.valid_entries(_genomes(spark, sf_dir)), 500).select("source_id", "genome_id", "shard")
 
 
+def shard_summary(spark, sf_dir):
+    return R.shard_summary(R.with_numbers(R.valid_entries(_genomes(spark, sf_dir)), 500))
+
+
+def file_names(spark, sf_dir):
+    m = table(spark, sf_dir, "serial_manifest")
+    runs = m.select("library_id", S.plain_file_name(F.col("r1")).alias("run"), S.safe_name(F.col("t2")).alias("sample"))
+    return runs.join(_reads(spark, sf_dir).groupBy("library_id").agg(F.count("*").alias("reads")), "library_id")
+
+
 def repeated_species(spark, sf_dir):
     return R.repeated(R.valid_entries(_genomes(spark, sf_dir)), "species")
 
@@ -327,6 +348,7 @@ QUERIES = {
     "site_copies": site_copies, "site_totals": site_totals, "fixed_motif_reads": fixed_motif_reads, "site_counts": site_counts,
     "hamming_best": hamming_best, "depth_max_mean": depth_max("mean"), "depth_max_median": depth_max("median"), "rpm_m_index": rpm_m_index,
     "site_matrix": site_matrix, "pileup": pileup, "genotypes": genotypes, "site_quality": site_quality, "good_sites": good_sites,
+    "genotype_lines": genotype_lines, "named_sites": named_sites, "shard_summary": shard_summary, "file_names": file_names,
     "backbone": backbone, "absolute_counts": absolute_counts, "rna_dna": rna_dna, "rna_dna_threshold": rna_dna_threshold,
     "status_counts": status_counts, "unmatched_species": unmatched_species, "unmatched_samples": unmatched_samples,
     "sample_totals": sample_totals, "kraken_species": kraken_species, "kraken_totals": kraken_totals,
@@ -465,6 +487,17 @@ ORACLES = {
     "backbone": f"""WITH {_GT}, refs AS (SELECT DISTINCT tag AS ref_seq FROM hits WHERE doc_id % 2 = 0),
       places AS (SELECT sample, ref_seq, unnest(range(1, {ALFI.length} + 1)) AS pos FROM refs, (SELECT DISTINCT sample FROM gts))
       SELECT sample, coalesce(gt, '--') AS gt, count(*) AS n FROM places LEFT JOIN gts USING (sample, ref_seq, pos) GROUP BY ALL""",
+    "genotype_lines": f"""WITH {_GT}, refs AS (SELECT DISTINCT ref_seq FROM gts WHERE gt IS NOT NULL),
+      places AS (SELECT ref_seq, unnest(range(1, {ALFI.length} + 1)) AS pos, unnest(string_split(ref_seq, '')) AS base FROM refs)
+      SELECT ref_seq, pos::INT AS pos, base, concat_ws(' ', ref_seq, pos, base, {', '.join(f"coalesce(max(gt) FILTER (sample = '{s}'), '--')" for s in SOURCES)}) AS line
+      FROM places LEFT JOIN gts USING (ref_seq, pos) GROUP BY ref_seq, pos, base""",
+    "named_sites": f"""WITH {_sites_sql(CHG)}, n AS (SELECT doc_id, start, row_number() OVER (ORDER BY doc_id, start) AS site_no FROM sites)
+      SELECT doc_id, start, printf('site%09d', site_no) AS site_id, site_no FROM n""",
+    "shard_summary": f"""WITH {_VALID}, n AS (SELECT row_number() OVER (ORDER BY source_id) - 1 AS k FROM v)
+      SELECT (k // 500 + 1) * 500 AS shard, count(*) AS genomes, lpad(min(k)::VARCHAR, 8, '0') AS first_id, lpad(max(k)::VARCHAR, 8, '0') AS last_id FROM n GROUP BY 1""",
+    "file_names": r"""SELECT library_id, regexp_replace(regexp_replace(r1, '^.*/', ''), '\.(f(ast)?q|fa(sta)?|fna)(\.gz)?$', '') AS run,
+      regexp_replace(regexp_replace(t2, '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g') AS sample, reads
+      FROM serial_manifest JOIN (SELECT library_id, count(*) AS reads FROM fastq_records GROUP BY 1) USING (library_id)""",
     "absolute_counts": """WITH a AS (SELECT o_orderpriority AS sample, p_brand AS taxon, sum(l_quantity) AS abundance FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL),
       meta AS (SELECT o_orderpriority AS sample, count(*)::DOUBLE AS ch, max(c_acctbal) AS ve FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
       h AS (SELECT sample, abundance AS host FROM a WHERE taxon = 'Brand#11')

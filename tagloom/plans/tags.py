@@ -184,6 +184,22 @@ def plain_scan(spark, sf_dir):
     return D.plain_scan(sequences(spark, sf_dir), ENZYME, ["doc_id"])
 
 
+def tag_keys(spark, sf_dir):
+    key = D.S.tag_key(F.col("genome_id"), F.col("copies"))
+    keyed = master_tags(spark, sf_dir).select("tag", key.alias("key"))
+    return keyed.withColumns({"genome_id": D.S.key_genome(F.col("key")), "copies": D.S.key_copies(F.col("key"))})
+
+
+def stats_recount(spark, sf_dir):
+    """Genomes whose count is off after the tags of every tenth genome got lost from the unique table."""
+    _, unique, stats = _database(spark, sf_dir)
+    return R.stats_mismatches(stats, unique.where("genome_id % 10 <> 0")).select("genome_id")
+
+
+def presence_flags(spark, sf_dir):
+    return P.presence(profile_gscore(spark, sf_dir), ["taxon"])
+
+
 _E_HITS = _hits_sql(ENZYME)
 _DB = f"""{_E_HITS},
 master AS (SELECT doc_id AS genome_id, taxon, tag, count(*) AS copies FROM hits WHERE doc_id % 2 = 0 GROUP BY ALL),
@@ -221,11 +237,16 @@ QUERIES = {
     "profile_features": profile_features, "quant_database": quant_database, "abundance_long": abundance_long,
     "abundance_wide": abundance_wide, "abundance_unpivot": abundance_unpivot, "coverage_clip": coverage_clip,
     "host_rescale": host_rescale, "split_shares": split_shares, "subspecies_merge": subspecies_merge,
+    "tag_keys": tag_keys, "stats_recount": stats_recount, "presence_flags": presence_flags,
     "first_hit": first_hit, "dedup_digest": dedup_digest, "plain_scan": plain_scan,
 }
 _MERGED = "CASE WHEN regexp_matches(species, '[A-Z]$') THEN regexp_replace(species, '_[^_]*$', '') ELSE species END"
 ORACLES = {
     **{k: v[1] for k, v in DIGESTS.items()},
+    "tag_keys": f"WITH {_DB} SELECT tag, printf('%08d%04d', genome_id, copies) AS key, genome_id, copies FROM master",
+    "stats_recount": f"""WITH {_DB}, again AS (SELECT taxon, genome_id, genome_tags, avg(genome_tags) OVER (PARTITION BY taxon) AS mean FROM gstats WHERE genome_id % 10 <> 0)
+        SELECT genome_id FROM stats LEFT JOIN again USING (genome_id) WHERE NOT coalesce(abs(taxon_mean - mean) <= 1e-4, false)""",
+    "presence_flags": f"WITH {_DB} SELECT taxon, max((g_score >= {THRESHOLD})::INT) AS present FROM prof GROUP BY taxon",
     "digest_stats": f"""WITH {_E_HITS}, n AS (SELECT sample, count(*) AS tags FROM hits GROUP BY sample)
         SELECT sample, count(*) AS reads, coalesce(max(tags), 0) AS tags, coalesce(max(tags), 0) / count(*) AS ratio
         FROM seqs LEFT JOIN n USING (sample) GROUP BY sample""",
