@@ -128,7 +128,8 @@ class NameMatcher:
             if not sums:
                 continue
             least = min(d for d, _ in sums)
-            ranks = [(d, -self.support[key[1]], self.listed[key]) for d, key in sums if d == least and key in self.listed]
+            # exactly a genus and an epithet of the list: this species or, off the list, another one
+            ranks = [(d, -self.support[key[1]], self.listed[key]) for d, key in sums if key in self.listed and (least or not d)]
             near_unlisted |= not ranks  # another species of that genus
             best = min([*ranks, *([best] if best else [])], default=None)
             if least == 0:

@@ -4,7 +4,7 @@ import pytest
 
 from tagloom.llm import names
 
-LIST = ["Thalocola_salinarius", "Thalocola_flavatica", "Galocola_montarius", "Galocola_montbrius", "Xantalubacter_montensis", "Gravicola_nivarius"]
+LIST = ["Thalocola_salinarius", "Thalocola_flavatica", "Galocola_montarius", "Galocola_montbrius", "Xantalubacter_montensis", "Gravicola_nivarius", "Gravicola_rubarius", "Thalocola_urbarius"]
 TYPED = {
     "Thalocola_salinarius": "Thalocola_salinarius",
     "  THALOCOLA   salinarius ": "Thalocola_salinarius",
@@ -20,7 +20,9 @@ TYPED = {
     "galocola montbrius": "Galocola_montbrius",
     "Galocola montarius": "Galocola_montarius",
     "Galocola flavatica": None,  # genus and epithet listed, not together
-    "Galocola flavtica": None,  # nearest to that unlisted combination
+    "Galocola flavtica": None,  # nearest to that unlisted combination, none of the list near
+    "Gravicola urbarius": None,
+    "Gravicola urbraius": "Gravicola_rubarius",  # misspelt, so the unlisted combination doesn't stand in the way
     "Thalocola": None, "uncultured Thalocola": None, "Thalocola sp. 7": None,
     "unknown": None, "": None, "   ": None, "-": None, "海": None,
     "G. flavatica": None, "Thalocola kwarziphila": None,
