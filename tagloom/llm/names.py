@@ -128,8 +128,9 @@ class NameMatcher:
             if not sums:
                 continue
             least = min(d for d, _ in sums)
-            # exactly a genus and an epithet of the list: this species or, off the list, another one
-            ranks = [(d, -self.support[key[1]], self.listed[key]) for d, key in sums if key in self.listed and (least or not d)]
+            # a misspelt value may stand one edit nearer to a combination off the list, an exact one is that species
+            most = least + (least > 0)
+            ranks = [(d, -self.support[key[1]], self.listed[key]) for d, key in sums if d <= most and key in self.listed]
             near_unlisted |= not ranks  # another species of that genus
             best = min([*ranks, *([best] if best else [])], default=None)
             if least == 0:
