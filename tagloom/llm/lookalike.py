@@ -206,15 +206,19 @@ def same_looking_pairs(
 
     Equal, null and empty texts are no pair; rows with a null id or the same id give none;
     repeated rows don't repeat a pair. Only rows of a form that is written in two ways at least
-    meet in the join.
+    take part, and they meet through the pairs of writings of that form.
     """
     spellings = count_spellings(df, text_col, vocabulary)
     found = checkpointed(signatures(df, spellings, id_col, text_col))
     several = found.groupBy("form").agg(F.min("raw").alias("low"), F.max("raw").alias("high")).where("low != high").select("form")
     rows = found.join(several, "form", "left_semi").dropDuplicates(["form", "raw", "_id"])
-    a, b = (rows.select("form", F.col("raw").alias(f"raw_{x}"), F.col("_id").alias(f"{id_col}_{x}")) for x in "ab")
+    # writings meet before rows do, so equal copies never meet each other
+    ways = rows.select("form", "raw").distinct()
+    x, y = (ways.select("form", F.col("raw").alias(f"raw_{k}")) for k in "xy")
+    writings = x.join(y, "form").where("raw_x < raw_y").select("raw_x", "raw_y")
+    for k in "xy":
+        writings = writings.join(rows.select(F.col("raw").alias(f"raw_{k}"), F.col("_id").alias(f"id_{k}")), f"raw_{k}")
     return (
-        a.join(b, "form")
-        .where((F.col("raw_a") != F.col("raw_b")) & (F.col(f"{id_col}_a") < F.col(f"{id_col}_b")))
-        .select(f"{id_col}_a", f"{id_col}_b").distinct()
+        writings.where("id_x != id_y")
+        .select(F.least("id_x", "id_y").alias(f"{id_col}_a"), F.greatest("id_x", "id_y").alias(f"{id_col}_b")).distinct()
     )

@@ -66,3 +66,9 @@ def test_spellings_are_the_most_frequent(spark):
     got = lookalike.count_spellings(df, size=300)
     counts = {f"w{str(i).translate(str.maketrans('0123456789', 'abcdefghij'))}": i % 7 + 1 for i in range(3000)}
     assert got == dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:300])
+
+
+def test_many_equal_copies_of_one_writing(spark):
+    df = spark.range(4001).selectExpr("id as doc_id", "if(id = 2000, 'bl\u0430de', 'blade') as text")
+    got = {tuple(r) for r in lookalike.same_looking_pairs(df).collect()}
+    assert got == {tuple(sorted((2000, i))) for i in range(4001) if i != 2000}
