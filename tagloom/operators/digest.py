@@ -117,6 +117,15 @@ def split_windows(reads: DataFrame, enzyme: Enzyme, keys: list[str], seq: str =
     return reads.where(F.col(seq).isNotNull()).select(*keys, F.explode(parts).alias("_w")).select(*keys, "_w.position", "_w.window", "_w.truncated")
 
 
+def cut_reads(contigs: DataFrame, keys: list[str], length: int, seq: str = "seq") -> DataFrame:
+    """(keys, part, seq): a contig cut end to end into reads of so many letters, the last one shorter.
+
+    One pass of a pattern, so long contigs cost no more a letter. Null and empty contigs give none.
+    """
+    parts = F.regexp_extract_all(F.col(seq), F.lit(f"(?s)(.{{1,{length}}})"), 1)
+    return contigs.select(*keys, F.posexplode(parts).alias("part", "seq"))
+
+
 TILE = 2048
 
 

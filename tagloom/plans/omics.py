@@ -82,7 +82,7 @@ def fastq_to_fasta(spark, sf_dir):
 
 
 def _windows(spark, sf_dir):
-    return D.split_windows(sequences(spark, sf_dir).withColumn("seq", F.substring("seq", 1, 177)), BSAXI, ["doc_id"])
+    return D.split_windows(D.cut_reads(sequences(spark, sf_dir), ["doc_id"], 177), BSAXI, ["doc_id", "part"])
 
 
 def split5_windows(spark, sf_dir):
@@ -91,7 +91,7 @@ def split5_windows(spark, sf_dir):
 
 def recover_tags(policy: str):
     def query(spark, sf_dir):
-        return D.all_hits(_windows(spark, sf_dir), BSAXI, ["doc_id", "position"], policy, "window")
+        return D.all_hits(_windows(spark, sf_dir), BSAXI, ["doc_id", "part", "position"], policy, "window")
 
     return query
 
@@ -110,11 +110,11 @@ def manifest_long(spark, sf_dir):
 
 
 def merged_pairs(spark, sf_dir):
-    """Pairs cut from the documents' letters: bases 1-100, and 61-160 from the other strand."""
-    pairs = sequences(spark, sf_dir).where("length(seq) >= 160").select(
-        "doc_id", F.substring("seq", 1, 100).alias("seq_1"), S.reverse_complement(F.substring("seq", 61, 100)).alias("seq_2")
+    """Pairs of every 160 letters of the documents: bases 1-100, and 61-160 from the other strand."""
+    pairs = D.cut_reads(sequences(spark, sf_dir), ["doc_id"], 160).where("length(seq) = 160").select(
+        "doc_id", "part", F.substring("seq", 1, 100).alias("seq_1"), S.reverse_complement(F.substring("seq", 61, 100)).alias("seq_2")
     )
-    return Q.merge_pairs(pairs, ["doc_id"], share=1.0)
+    return Q.merge_pairs(pairs, ["doc_id", "part"], share=1.0)
 
 
 # --- methylation ------------------------------------------------------------------------------
@@ -136,9 +136,9 @@ def site_totals(spark, sf_dir):
 
 
 def _starts(spark, sf_dir, every: int):
-    """Reads of 50 bases from every so many-th base of the odd documents."""
+    """Reads of 50 bases from every so many-th base of the documents."""
     at = F.sequence(F.lit(0), F.length("seq") - 50, F.lit(every))
-    s = sequences(spark, sf_dir).where("doc_id % 2 = 1 and length(seq) >= 50").select("doc_id", "sample", "seq", F.explode(at).alias("at"))
+    s = sequences(spark, sf_dir).where("length(seq) >= 50").select("doc_id", "sample", "seq", F.explode(at).alias("at"))
     return s.select("doc_id", "sample", "at", F.substr("seq", F.col("at") + 1, F.lit(50)).alias("seq"))
 
 
@@ -374,13 +374,15 @@ _SIDES = f"""f AS (SELECT {_key('id')} AS read_id, arrival_no AS arrival_no_1 FR
   r AS (SELECT {_key('id')} AS read_id, arrival_no AS arrival_no_2 FROM reverse_reads)"""
 _POSITIONS = ", ".join(f"({i}, {s}, {e})" for i, (s, e) in enumerate(BSAXI.windows, 1))
 _WINDOWS = f"""{_seqs_sql()}, pos(position, s, e) AS (VALUES {_POSITIONS}),
-  w AS (SELECT doc_id, position, substr(substr(seq, 1, 177), s + 1, e - s + 1) AS "window", least(length(seq), 177) <= e AS truncated FROM seqs, pos),
-  h AS (SELECT doc_id, position, (i - 1)::INT AS start, pattern, substr("window", i, {BSAXI.length}) AS tag FROM (
-    SELECT doc_id, position, "window", 1 AS pattern, unnest(list_filter(range(1, length("window") - {BSAXI.length} + 2), lambda i: regexp_full_match(substr("window", i, {BSAXI.length}), '{BSAXI.forward}'))) AS i FROM w
+  cut AS (SELECT doc_id, part::INT AS part, substr(seq, part * 177 + 1, 177) AS seq FROM (
+    SELECT *, unnest(range(0, (length(seq) + 176) // 177)) AS part FROM seqs)),
+  w AS (SELECT doc_id, part, position, substr(seq, s + 1, e - s + 1) AS "window", length(seq) <= e AS truncated FROM cut, pos),
+  h AS (SELECT doc_id, part, position, (i - 1)::INT AS start, pattern, substr("window", i, {BSAXI.length}) AS tag FROM (
+    SELECT doc_id, part, position, "window", 1 AS pattern, unnest(list_filter(range(1, length("window") - {BSAXI.length} + 2), lambda i: regexp_full_match(substr("window", i, {BSAXI.length}), '{BSAXI.forward}'))) AS i FROM w
     UNION ALL
-    SELECT doc_id, position, "window", 2, unnest(list_filter(range(1, length("window") - {BSAXI.length} + 2), lambda i: regexp_full_match(substr("window", i, {BSAXI.length}), '{BSAXI.reverse}'))) FROM w)),
-  o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, position ORDER BY start, pattern)::INT AS hit,
-    row_number() OVER (PARTITION BY doc_id, position ORDER BY pattern, start) AS rank, count(*) OVER (PARTITION BY doc_id, position) AS n FROM h)"""
+    SELECT doc_id, part, position, "window", 2, unnest(list_filter(range(1, length("window") - {BSAXI.length} + 2), lambda i: regexp_full_match(substr("window", i, {BSAXI.length}), '{BSAXI.reverse}'))) FROM w)),
+  o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, part, position ORDER BY start, pattern)::INT AS hit,
+    row_number() OVER (PARTITION BY doc_id, part, position ORDER BY pattern, start) AS rank, count(*) OVER (PARTITION BY doc_id, part, position) AS n FROM h)"""
 _MANIFEST = "m AS (" + " UNION ".join(f"SELECT library_id, {i} AS position, trim(t{i}) AS sample FROM serial_manifest WHERE trim(t{i}) <> ''" for i in range(1, 6)) + ")"
 
 
@@ -460,10 +462,10 @@ ORACLES = {
     "pair_counts": f"""WITH {_SIDES}, a AS (SELECT read_id, count(*) AS n_1 FROM f WHERE read_id IS NOT NULL GROUP BY 1), b AS (SELECT read_id, count(*) AS n_2 FROM r WHERE read_id IS NOT NULL GROUP BY 1)
       SELECT read_id, coalesce(n_1, 0) AS n_1, coalesce(n_2, 0) AS n_2, coalesce(n_1, 0) * coalesce(n_2, 0) AS pairs FROM a FULL JOIN b USING (read_id)""",
     "fastq_to_fasta": "SELECT rec_no, '>' || substr(header, 2) || chr(10) || upper(seq) AS record FROM fastq_records WHERE seq IS NOT NULL AND header IS NOT NULL",
-    "split5_windows": f'WITH {_WINDOWS} SELECT doc_id, position, "window", truncated FROM w',
-    "recover_tags_first": f"WITH {_WINDOWS} SELECT doc_id, position, 1 AS hit, start, pattern, tag FROM o WHERE rank = 1",
-    "recover_tags_unique": f"WITH {_WINDOWS} SELECT doc_id, position, hit, start, pattern, tag FROM o WHERE n = 1",
-    "recover_tags_all": f"WITH {_WINDOWS} SELECT doc_id, position, hit, start, pattern, tag FROM o",
+    "split5_windows": f'WITH {_WINDOWS} SELECT doc_id, part, position, "window", truncated FROM w',
+    "recover_tags_first": f"WITH {_WINDOWS} SELECT doc_id, part, position, 1 AS hit, start, pattern, tag FROM o WHERE rank = 1",
+    "recover_tags_unique": f"WITH {_WINDOWS} SELECT doc_id, part, position, hit, start, pattern, tag FROM o WHERE n = 1",
+    "recover_tags_all": f"WITH {_WINDOWS} SELECT doc_id, part, position, hit, start, pattern, tag FROM o",
     "demultiplexed": f"""WITH {_MANIFEST}, pos(position, s, e) AS (VALUES {_POSITIONS}),
       w AS (SELECT library_id, position, length(seq) <= e AS truncated FROM fastq_records, pos WHERE substr(seq, s + 1, e - s + 1) <> '')
       SELECT sample, library_id, position, count(*) AS n, count(*) FILTER (truncated) AS truncated FROM w JOIN m USING (library_id, position) GROUP BY ALL""",

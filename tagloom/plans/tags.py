@@ -48,7 +48,7 @@ def _hits_sql(e: enzymes.Enzyme) -> str:
 
 
 def genomes(spark, sf_dir):
-    return sequences(spark, sf_dir).where("doc_id % 2 = 0").withColumn("genome_id", F.col("doc_id"))
+    return sequences(spark, sf_dir).withColumn("genome_id", F.col("doc_id"))
 
 
 def master_tags(spark, sf_dir):
@@ -56,7 +56,7 @@ def master_tags(spark, sf_dir):
 
 
 def read_counts(spark, sf_dir):
-    return P.tag_counts(D.digest(sequences(spark, sf_dir).where("doc_id % 2 = 1").select("sample", "seq"), ENZYME))
+    return P.tag_counts(D.digest(sequences(spark, sf_dir).select("sample", "seq"), ENZYME))
 
 
 def _database(spark, sf_dir):
@@ -172,8 +172,8 @@ def subspecies_merge(spark, sf_dir):
 
 
 def first_hit(spark, sf_dir):
-    reads = sequences(spark, sf_dir).withColumn("qual", F.col("seq")).select("doc_id", "seq", "qual")
-    return D.first_hit(reads, enzymes.select("AlfI")[0], read_length=200).select("doc_id", "tag", "tag_qual")
+    reads = D.cut_reads(sequences(spark, sf_dir), ["doc_id"], 200).withColumn("qual", F.col("seq"))
+    return D.first_hit(reads, enzymes.select("AlfI")[0], read_length=200).select("doc_id", "part", "tag", "tag_qual")
 
 
 def dedup_digest(spark, sf_dir):
@@ -202,12 +202,12 @@ def presence_flags(spark, sf_dir):
 
 _E_HITS = _hits_sql(ENZYME)
 _DB = f"""{_E_HITS},
-master AS (SELECT doc_id AS genome_id, taxon, tag, count(*) AS copies FROM hits WHERE doc_id % 2 = 0 GROUP BY ALL),
+master AS (SELECT doc_id AS genome_id, taxon, tag, count(*) AS copies FROM hits GROUP BY ALL),
 confined AS (SELECT tag FROM master GROUP BY tag HAVING min(taxon) = max(taxon)),
 uniq AS (SELECT tag, genome_id, taxon FROM master WHERE copies = 1 AND tag IN (SELECT tag FROM confined)),
 gstats AS (SELECT taxon, genome_id, count(*) AS genome_tags FROM uniq GROUP BY ALL),
 stats AS (SELECT *, avg(genome_tags) OVER (PARTITION BY taxon) AS taxon_mean FROM gstats),
-once AS (SELECT sample, tag, count(*) AS n FROM hits WHERE doc_id % 2 = 1 GROUP BY ALL),
+once AS (SELECT sample, tag, count(*) AS n FROM hits GROUP BY ALL),
 counts AS (SELECT sample, tag, sum(n)::BIGINT AS n FROM (
     SELECT * FROM once UNION ALL SELECT sample, reverse(translate(tag, 'ACGT', 'TGCA')), n FROM once) GROUP BY ALL),
 found AS (SELECT sample, taxon, count(*) AS seq_tags, sum(n)::BIGINT AS seq_reads
@@ -273,8 +273,9 @@ ORACLES = {
     "subspecies_merge": f"""WITH {_DB}, named AS (SELECT *, taxon || '_sub_' || upper(substr(taxon, 1, 1)) AS species FROM prof)
         SELECT sample, {_MERGED} AS merged, sum(seq_tags)::BIGINT AS seq_tags, sum(seq_reads)::BIGINT AS seq_reads,
           sqrt(sum(seq_tags) * sum(seq_reads)::DOUBLE) AS g_score FROM named GROUP BY ALL""",
-    "first_hit": f"""WITH {_seqs_sql()}, hit AS (SELECT doc_id, regexp_extract(substr(seq, 1, 200), '{_ALFI.forward}') AS tag FROM seqs)
-        SELECT doc_id, tag, tag AS tag_qual FROM hit WHERE tag <> ''""",
+    "first_hit": f"""WITH {_seqs_sql()}, cut AS (SELECT doc_id, seq, unnest(range(0, (length(seq) + 199) // 200))::INT AS part FROM seqs),
+        hit AS (SELECT doc_id, part, regexp_extract(substr(seq, part * 200 + 1, 200), '{_ALFI.forward}') AS tag FROM cut)
+        SELECT doc_id, part, tag, tag AS tag_qual FROM hit WHERE tag <> ''""",
     "dedup_digest": f"""WITH {_seqs_sql()} SELECT doc_id, (i - 1)::INT AS start, substr(seq, i, {_HIN.length}) AS tag, (i - 1 + {_HIN.length})::INT AS "end" FROM (
         SELECT doc_id, seq, unnest(list_filter(range(1, length(seq) - {_HIN.length} + 2), lambda i: regexp_full_match(substr(seq, i, {_HIN.length}), '{_HIN.forward}|{_HIN.reverse}'))) AS i FROM seqs)""",
     "plain_scan": f"""WITH {_seqs_sql()}, scans AS (

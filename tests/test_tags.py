@@ -194,3 +194,11 @@ def test_all_enzymes_counted_like_the_digests(spark):
     df = tags.sequences(spark, "/root/testdata/sf0.001").where("doc_id <= 40").cache()
     counts = {e.name: df.select(f.sum(sum(f.size(S.overlapping(f.col("seq"), p)) for p in e.patterns))).first()[0] for e in enzymes.ENZYMES}
     assert counts == {e.name: D.digest(df, e).count() for e in enzymes.ENZYMES}
+
+
+def test_cut_reads_cover_the_contig(spark):
+    texts = {1: "ACGTACG", 2: "", 3: None, 4: "AC", 5: "ACG" * 20_000}
+    df = spark.createDataFrame([(k, v, "x") for k, v in texts.items()], "id int, seq string, part string")
+    rows = D.cut_reads(df, ["id"], 3).orderBy("id", "part").collect()
+    for k, v in texts.items():
+        assert [r["seq"] for r in rows if r["id"] == k] == [v[i : i + 3] for i in range(0, len(v or ""), 3)]
