@@ -16,6 +16,7 @@ from tagloom.operators import refdb as R
 from tagloom.operators import snp as G
 from tagloom.plans.tags import SOURCES, _hits_sql, _seqs_sql, sequences
 from tagloom.session import checkpointed, table
+from tagloom.streaming.tags import windowed_yield as windowed
 
 BSAXI, ALFI, BCGI = (enzymes.select(n)[0] for n in ("BsaXI", "AlfI", "BcgI"))
 CPG, CHG, RLAI = enzymes.motif(), enzymes.motif("MspJI", "CHG"), enzymes.motif("RlaI", "CHG")
@@ -44,6 +45,12 @@ def strict_quality(spark, sf_dir):
     )
 
 
+def windowed_yield(spark, sf_dir):
+    """The streaming operator over the whole table; rows without a time belong to no window."""
+    reads = _reads(spark, sf_dir).select(F.col("library_id").alias("sample"), "seq", "run_at")
+    return windowed(reads, "run_at").select("sample", F.date_format("start", "yyyy-MM-dd").alias("day"), "reads", "bases")
+
+
 def length_hist(spark, sf_dir):
     return Q.length_histogram(_reads(spark, sf_dir), ["library_id"])
 
@@ -340,7 +347,7 @@ def listed_species(spark, sf_dir):
 
 
 QUERIES = {
-    "read_status": read_status, "retention_qc": retention_qc, "strict_quality": strict_quality, "length_hist": length_hist,
+    "read_status": read_status, "retention_qc": retention_qc, "strict_quality": strict_quality, "length_hist": length_hist, "windowed_yield": windowed_yield,
     "read_first_hit": read_first_hit, "dup_read_ids": dup_read_ids, "pair_reads": pair_reads, "pair_counts": pair_counts,
     "fastq_to_fasta": fastq_to_fasta, "split5_windows": split5_windows, "recover_tags_first": recover_tags("first"),
     "recover_tags_unique": recover_tags("unique"), "recover_tags_all": recover_tags("all"), "demultiplexed": demultiplexed,
@@ -453,6 +460,8 @@ ORACLES = {
     "strict_quality": f"""SELECT rec_no, length(qual) > 0 AND {_above('qual', 29)} * 100 >= length(qual) * 80 AS q30,
       length(qual) - {_above('qual', 9)} <= 5 AS few_bad, length(seq) > 0 AND (length(seq) - length(replace(seq, 'N', ''))) / length(seq) <= 0.02 AS n_share,
       length(seq) > 0 AND length(seq) - length(replace(seq, 'N', '')) <= 1 AS n_count FROM fastq_records WHERE qual IS NOT NULL AND seq IS NOT NULL""",
+    "windowed_yield": """SELECT library_id AS sample, strftime(run_at, '%Y-%m-%d') AS day, count(*) AS reads, sum(length(seq))::BIGINT AS bases
+      FROM fastq_records WHERE run_at IS NOT NULL GROUP BY ALL""",
     "length_hist": "SELECT library_id, length(seq)::INT AS length, count(*) AS n FROM fastq_records GROUP BY ALL",
     "read_first_hit": f"""WITH h AS (SELECT rec_no, substr(upper(seq), 1, 50) AS s, substr(qual, 1, 50) AS q FROM fastq_records),
       t AS (SELECT *, CASE WHEN regexp_matches(s, '{BCGI.forward}') THEN regexp_extract(s, '{BCGI.forward}') ELSE nullif(regexp_extract(s, '{BCGI.reverse}'), '') END AS tag FROM h)
