@@ -54,6 +54,16 @@ def hamming_pairs(queries: DataFrame, references: DataFrame, most: int, both_str
     return close.groupBy("query", "reference", "strand").agg(F.min("distance").alias("distance"))
 
 
+def best_hits(queries: DataFrame, references: DataFrame, most: int, both_strands: bool = False) -> DataFrame:
+    """``best_unique`` of ``hamming_pairs``; only queries that equal no reference meet others by segments.
+
+    An equal reference is the best stratum, so further ones can't change what is kept.
+    """
+    equal = hamming_pairs(queries, references, 0, both_strands)
+    rest = queries.join(equal.select("query"), "query", "left_anti")
+    return best_unique(equal.unionByName(hamming_pairs(rest, references, most, both_strands)))
+
+
 def best_unique(pairs: DataFrame) -> DataFrame:
     """One row per query whose best stratum holds a single hit; others are suppressed.
 

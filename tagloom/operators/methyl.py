@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import seq as S
-from tagloom.operators.approxjoin import best_unique, hamming_pairs
+from tagloom.operators.approxjoin import best_hits
 from tagloom.operators.numbering import numbered
 
 
@@ -31,7 +31,7 @@ def site_totals(sites_with_copies: DataFrame) -> DataFrame:
 def site_counts(reads: DataFrame, sites: DataFrame, most: int = 2, sample: str = "sample") -> DataFrame:
     """(sample, sequence, n): reads on unique sites within ``most`` differences, best stratum only."""
     per_seq = reads.where("sequence is not null").groupBy(sample, F.col("sequence").alias("query")).agg(F.count("*").alias("n"))
-    hits = best_unique(hamming_pairs(per_seq.select("query"), sites.select(F.col("sequence").alias("reference")), most))
+    hits = best_hits(per_seq.select("query"), sites.select(F.col("sequence").alias("reference")), most)
     return per_seq.join(hits, "query").groupBy(sample, F.col("reference").alias("sequence")).agg(F.sum("n").alias("n"))
 
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.approxjoin import best_unique, hamming_pairs
+from tagloom.operators.approxjoin import best_hits
 from tagloom.operators.digest import per_base
 
 BASES = ("A", "C", "G", "T")
@@ -16,7 +16,7 @@ BASES = ("A", "C", "G", "T")
 def map_tags(tags: DataFrame, references: DataFrame, most: int = 2, sample: str = "sample") -> DataFrame:
     """(sample, ref_seq, read_seq, n) of tags with one best reference tag."""
     per_tag = tags.groupBy(sample, F.col("tag").alias("query")).agg(F.count("*").alias("n"))
-    hits = best_unique(hamming_pairs(per_tag.select("query"), references.select(F.col("tag").alias("reference")), most))
+    hits = best_hits(per_tag.select("query"), references.select(F.col("tag").alias("reference")), most)
     return per_tag.join(hits, "query").select(sample, F.col("reference").alias("ref_seq"), F.col("query").alias("read_seq"), "n")
 
 

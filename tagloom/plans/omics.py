@@ -156,7 +156,7 @@ def fixed_motif_reads(spark, sf_dir):
 
 def _site_counts(spark, sf_dir):
     all_sites = checkpointed(D.motif_sites(sequences(spark, sf_dir), CHG, ["doc_id", "sample"]))
-    return M.site_counts(all_sites.where("doc_id % 2 = 1"), all_sites.where("doc_id % 2 = 0"), 2)
+    return M.site_counts(all_sites, all_sites, 2)
 
 
 def site_counts(spark, sf_dir):
@@ -164,9 +164,10 @@ def site_counts(spark, sf_dir):
 
 
 def hamming_best(spark, sf_dir):
-    tags = checkpointed(D.digest(sequences(spark, sf_dir).select("doc_id", "seq"), BCGI).distinct())
-    pairs = A.hamming_pairs(tags.where("doc_id % 2 = 1").select(F.col("tag").alias("query")), tags.where("doc_id % 2 = 0").select(F.col("tag").alias("reference")), 2)
-    return A.best_unique(pairs).select("query", "reference", "distance")
+    """The nearest other tag of each tag; a tag is no neighbour of itself."""
+    tags = checkpointed(D.digest(sequences(spark, sf_dir).select("doc_id", "seq"), BCGI).select("tag").distinct())
+    pairs = A.hamming_pairs(tags.select(F.col("tag").alias("query")), tags.select(F.col("tag").alias("reference")), 2)
+    return A.best_unique(pairs.where("query <> reference")).select("query", "reference", "distance")
 
 
 def _line_counts(spark, sf_dir):
@@ -194,8 +195,7 @@ def site_matrix(spark, sf_dir):
 
 def _piles(spark, sf_dir):
     tags = checkpointed(D.digest(sequences(spark, sf_dir).select("doc_id", "sample", "seq"), ALFI))
-    mapped = G.map_tags(tags.where("doc_id % 2 = 1"), tags.where("doc_id % 2 = 0"))
-    return G.pileup(mapped)
+    return G.pileup(G.map_tags(tags, tags))
 
 
 def pileup(spark, sf_dir):
@@ -215,7 +215,7 @@ def good_sites(spark, sf_dir):
 
 
 def backbone(spark, sf_dir):
-    refs = D.digest(sequences(spark, sf_dir).where("doc_id % 2 = 0").select("doc_id", "seq"), ALFI)
+    refs = D.digest(sequences(spark, sf_dir).select("doc_id", "seq"), ALFI)
     calls = checkpointed(genotypes(spark, sf_dir))
     return G.backbone(refs, calls, calls).groupBy("sample", "gt").agg(F.count("*").alias("n"))
 

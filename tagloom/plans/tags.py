@@ -1,7 +1,7 @@
 """Queries on restriction tags of the documents' letters: digestion, tag database, profiles.
 
-No table holds DNA, so letters are mapped to bases the same way in Spark and SQL. Genomes are the
-documents of even id, reads those of odd id; the taxon is the language, the sample the source.
+No table holds DNA, so letters are mapped to bases the same way in Spark and SQL. Every document is
+a genome and a read; the taxon is the language, the sample the source.
 """
 
 from __future__ import annotations
