@@ -65,12 +65,12 @@ def best_hits(queries: DataFrame, references: DataFrame, most: int, both_strands
 
 
 def best_unique(pairs: DataFrame) -> DataFrame:
-    """One row per query whose best stratum holds a single hit; others are suppressed.
+    """One row per query whose best stratum holds a single reference; others are suppressed.
 
-    One aggregate and no window: the hits of each distance are counted in the query's group.
+    A hit on either strand counts. A reference hit on both strands at its best is one hit, taken on
+    the first. Aggregates only, no window and no join of the pairs with themselves.
     """
-    best = pairs.groupBy("query").agg(
-        F.min("distance").alias("distance"), F.min(F.struct("distance", "reference", "strand")).alias("low"),
-    )
-    ties = pairs.join(best.select("query", "distance"), ["query", "distance"]).groupBy("query").agg(F.count("*").alias("hits"))
-    return best.join(ties.where("hits = 1"), "query").select("query", F.col("low.reference").alias("reference"), F.col("low.strand").alias("strand"), "distance")
+    hits = pairs.groupBy("query", "reference").agg(F.min(F.struct("distance", "strand")).alias("h"))
+    strata = hits.groupBy("query", F.col("h.distance").alias("distance")).agg(F.count("*").alias("hits"), F.min(F.struct("reference", "h.strand")).alias("low"))
+    best = strata.groupBy("query").agg(F.min(F.struct("distance", "hits", "low")).alias("b")).where("b.hits = 1")
+    return best.select("query", F.col("b.low.reference").alias("reference"), F.col("b.low.strand").alias("strand"), F.col("b.distance").alias("distance"))

@@ -29,9 +29,9 @@ def site_totals(sites_with_copies: DataFrame) -> DataFrame:
 
 
 def site_counts(reads: DataFrame, sites: DataFrame, most: int = 2, sample: str = "sample") -> DataFrame:
-    """(sample, sequence, n): reads on unique sites within ``most`` differences, best stratum only."""
+    """(sample, sequence, n): reads of either strand on unique sites within ``most`` differences, best stratum only."""
     per_seq = reads.where("sequence is not null").groupBy(sample, F.col("sequence").alias("query")).agg(F.count("*").alias("n"))
-    hits = best_hits(per_seq.select("query"), sites.select(F.col("sequence").alias("reference")), most)
+    hits = best_hits(per_seq.select("query"), sites.select(F.col("sequence").alias("reference")), most, both_strands=True)
     return per_seq.join(hits, "query").groupBy(sample, F.col("reference").alias("sequence")).agg(F.sum("n").alias("n"))
 
 

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions import seq as S
 from tagloom.operators.approxjoin import best_hits
 from tagloom.operators.digest import per_base
 
@@ -14,10 +15,14 @@ BASES = ("A", "C", "G", "T")
 
 
 def map_tags(tags: DataFrame, references: DataFrame, most: int = 2, sample: str = "sample") -> DataFrame:
-    """(sample, ref_seq, read_seq, n) of tags with one best reference tag."""
+    """(sample, ref_seq, read_seq, n) of tags with one best reference tag on either strand.
+
+    ``read_seq`` is turned to the strand of the reference.
+    """
     per_tag = tags.groupBy(sample, F.col("tag").alias("query")).agg(F.count("*").alias("n"))
-    hits = best_hits(per_tag.select("query"), references.select(F.col("tag").alias("reference")), most)
-    return per_tag.join(hits, "query").select(sample, F.col("reference").alias("ref_seq"), F.col("query").alias("read_seq"), "n")
+    hits = best_hits(per_tag.select("query"), references.select(F.col("tag").alias("reference")), most, both_strands=True)
+    turned = F.when(F.col("strand") == "-", S.reverse_complement(F.col("query"))).otherwise(F.col("query"))
+    return per_tag.join(hits, "query").groupBy(sample, F.col("reference").alias("ref_seq"), turned.alias("read_seq")).agg(F.sum("n").alias("n"))
 
 
 def pileup(mapped: DataFrame, sample: str = "sample") -> DataFrame:

@@ -193,9 +193,14 @@ def site_matrix(spark, sf_dir):
 # --- genotypes --------------------------------------------------------------------------------
 
 
+def _references(tags: DataFrame) -> DataFrame:
+    """One reference per place: a palindromic enzyme's tag is read on both strands."""
+    return tags.select(S.canonical_tag(F.col("tag")).alias("tag")).distinct()
+
+
 def _piles(spark, sf_dir):
     tags = checkpointed(D.digest(sequences(spark, sf_dir).select("doc_id", "sample", "seq"), ALFI))
-    return G.pileup(G.map_tags(tags, tags))
+    return G.pileup(G.map_tags(tags, _references(tags)))
 
 
 def pileup(spark, sf_dir):
@@ -215,7 +220,7 @@ def good_sites(spark, sf_dir):
 
 
 def backbone(spark, sf_dir):
-    refs = D.digest(sequences(spark, sf_dir).select("doc_id", "seq"), ALFI)
+    refs = _references(D.digest(sequences(spark, sf_dir).select("doc_id", "seq"), ALFI))
     calls = checkpointed(genotypes(spark, sf_dir))
     return G.backbone(refs, calls, calls).groupBy("sample", "gt").agg(F.count("*").alias("n"))
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tagloom import enzymes
 from tagloom.operators import approxjoin as A
+from tagloom.operators import methyl as M
+from tagloom.operators import snp as G
 from tagloom.plans import omics
 
 RNG = random.Random(11)
@@ -69,3 +71,19 @@ def test_every_document_is_query_and_reference(spark, tmp_path):
     sites = omics.motif_sites(omics.CHG)(spark, sf)
     assert sites.count() > 0 and omics.site_counts(spark, sf).agg(F.sum("n")).first()[0] == sites.count()
     assert {r["sample"] for r in omics.backbone(spark, sf).collect()} == {"ocr_scan", "bulk_xml"}
+
+
+def test_reads_of_the_other_strand_are_mapped(spark, tmp_path):
+    tag = min((t := filled("GCATTTTTTTGC", 10, 10)), rc(t))
+    far, palindrome = changed(rc(tag), {3}), "ACGTACGTAC" + "GCAAAATTTTGC" + "GTACGTACGT"
+    reads = spark.createDataFrame([("s", tag), ("s", rc(tag)), ("s", far), ("s", palindrome)], "sample string, tag string")
+    mapped = G.map_tags(reads, spark.createDataFrame([(tag,), (palindrome,)], "tag string"))
+    assert {tuple(r) for r in mapped.collect()} == {("s", tag, tag, 2), ("s", tag, rc(far), 1), ("s", palindrome, palindrome, 1)}
+    sites = spark.createDataFrame([("s", tag)], "sample string, sequence string")
+    reads = reads.where(F.col("tag") != palindrome).withColumnRenamed("tag", "sequence")
+    assert [tuple(r) for r in M.site_counts(reads, sites).collect()] == [("s", tag, 3)]
+    # one equal reference on each strand: no single best one
+    assert M.site_counts(reads, sites.union(spark.createDataFrame([("s", rc(tag))], sites.schema))).where(F.col("n") > 1).count() == 0
+    sf = documents(spark, tmp_path, [(1, "ocr_scan", tag), (2, "ocr_scan", rc(tag))])
+    piles = omics.pileup(spark, sf).collect()
+    assert {r["ref_seq"] for r in piles} == {tag} and all(r[tag[r["pos"] - 1]] == 2 for r in piles)
