@@ -123,7 +123,7 @@ def wide(df: DataFrame, rows: str, columns: str, value: str, names: list[str]) -
 
 def long(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
     """A wide matrix as (row, column, value)."""
-    return df.unpivot(rows, [c for c in df.columns if c != rows], columns, value)
+    return df.unpivot(rows, [F.col(f"`{c}`") for c in df.columns if c != rows], columns, value)
 
 
 def merge_subspecies(features_df: DataFrame, sample: str = "sample", species: str = "species") -> DataFrame:

@@ -81,8 +81,8 @@ def good_sites(quality: DataFrame, call_rate: float = 0.8, maf: float = 0.05) ->
 
 def genotype_rows(places: DataFrame, samples: list[str], sample: str = "sample") -> DataFrame:
     """(ref_seq, pos, base, line) with one genotype per sample in the given order, separated by blanks."""
-    wide = places.groupBy("ref_seq", "pos", "base").pivot(sample, samples).agg(F.first("gt")).fillna("--", samples)
-    return wide.select("ref_seq", "pos", "base", F.concat_ws(" ", "ref_seq", F.col("pos").cast("string"), "base", *[F.col(f"`{s}`") for s in samples]).alias("line"))
+    wide = places.groupBy("ref_seq", "pos", "base").pivot(sample, samples).agg(F.first("gt"))
+    return wide.select("ref_seq", "pos", "base", F.concat_ws(" ", "ref_seq", F.col("pos").cast("string"), "base", *[F.coalesce(F.col(f"`{s}`"), F.lit("--")) for s in samples]).alias("line"))
 
 
 def checked_references(tags: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tagloom.operators import multiomics as O
 from tagloom.operators import reads as Q
 from tagloom.operators import refdb as R
 from tagloom.operators import snp as G
-from tagloom.plans.tags import SOURCES, _hits_sql, _seqs_sql, sequences
+from tagloom.plans.tags import SOURCES, _hits_sql, _seqs_sql, sample_names, sequences
 from tagloom.session import checkpointed, table
 from tagloom.streaming.tags import windowed_yield as windowed
 
@@ -187,7 +187,7 @@ def rpm_m_index(spark, sf_dir):
 
 
 def site_matrix(spark, sf_dir):
-    return M.matrix(_site_counts(spark, sf_dir), SOURCES, least=2)
+    return M.matrix(_site_counts(spark, sf_dir), sample_names(spark, sf_dir), least=2)
 
 
 # --- genotypes --------------------------------------------------------------------------------
@@ -212,7 +212,7 @@ def genotypes(spark, sf_dir):
 
 
 def site_quality(spark, sf_dir):
-    return G.site_quality(genotypes(spark, sf_dir), len(SOURCES))
+    return G.site_quality(genotypes(spark, sf_dir), len(sample_names(spark, sf_dir)))
 
 
 def good_sites(spark, sf_dir):
@@ -228,7 +228,7 @@ def backbone(spark, sf_dir):
 def genotype_lines(spark, sf_dir):
     calls = checkpointed(genotypes(spark, sf_dir).where("gt is not null"))
     refs = calls.select(F.col("ref_seq").alias("tag")).distinct()
-    return G.genotype_rows(G.backbone(G.checked_references(refs), calls, calls), SOURCES)
+    return G.genotype_rows(G.backbone(G.checked_references(refs), calls, calls), sample_names(spark, sf_dir))
 
 
 def named_sites(spark, sf_dir):

@@ -17,6 +17,7 @@ from tagloom.session import checkpointed, spread, table
 
 ENZYME = enzymes.select("CjeI")[0]
 THRESHOLD = 2.0
+#: The samples that the SQL names.
 SOURCES = ["bulk_xml", "mt_queue", "ocr_scan", "office_feed", "partner_drop"]
 
 
@@ -29,6 +30,15 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sample_names(spark: SparkSession, sf_dir: str, most: int = 10_000) -> list[str]:
+    """The samples of ``sequences`` in order, an error beyond ``most``: each becomes a column."""
+    docs = table(spark, sf_dir, "documents").where("text is not null").select(F.coalesce("source", F.lit("none")).alias("sample"))
+    names = [r["sample"] for r in docs.distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} samples: use the long form")
+    return sorted(names)
+
+
 def _seqs_sql(name: str = "seqs") -> str:
     return f"""{name} AS (
       SELECT doc_id, coalesce(lang, 'none') AS taxon, coalesce(source, 'none') AS sample,
@@ -144,7 +154,7 @@ def abundance_long(spark, sf_dir):
 
 
 def abundance_wide(spark, sf_dir):
-    return P.wide(abundance_long(spark, sf_dir), "taxon", "sample", "abundance", SOURCES)
+    return P.wide(abundance_long(spark, sf_dir), "taxon", "sample", "abundance", sample_names(spark, sf_dir))
 
 
 def abundance_unpivot(spark, sf_dir):

@@ -4,13 +4,14 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom import enzymes
 from tagloom.operators import approxjoin as A
 from tagloom.operators import methyl as M
 from tagloom.operators import snp as G
-from tagloom.plans import omics
+from tagloom.plans import omics, tags
 
 RNG = random.Random(11)
 LETTERS = str.maketrans("ACGT", "abcd")
@@ -56,18 +57,18 @@ def test_every_document_is_query_and_reference(spark, tmp_path):
     rows = [(2 * i + 1, "ocr_scan", t + "AAAA" + alfi + site) for i, t in enumerate(near)] + [(8, "bulk_xml", alfi + site), (10, "bulk_xml", changed(alfi, {0}))]
     sf = documents(spark, tmp_path, rows)
 
-    def tags(name):
+    def cut(name):
         e = enzymes.select(name)[0]
         return [(s, m[1] if p == e.forward else rc(m[1])) for _, s, seq in rows for p in dict.fromkeys(e.patterns) for m in re.finditer(f"(?=({p}))", seq)]
 
-    every, expected = {t for _, t in tags("BcgI")}, set()
+    every, expected = {t for _, t in cut("BcgI")}, set()
     for q in every:
         hits = [(dist(q, r), r) for r in every if r != q and dist(q, r) <= 2]
         if hits and sum(d == min(hits)[0] for d, _ in hits) == 1:
             expected.add((q, min(hits)[1], min(hits)[0]))
     assert expected and {tuple(r) for r in omics.hamming_best(spark, sf).collect()} == expected
     depth = omics.pileup(spark, sf).where("pos = 1").groupBy("sample").agg(F.sum(F.col("A") + F.col("C") + F.col("G") + F.col("T"))).collect()
-    assert {tuple(r) for r in depth} == set(Counter(s for s, _ in tags("AlfI")).items())
+    assert {tuple(r) for r in depth} == set(Counter(s for s, _ in cut("AlfI")).items())
     sites = omics.motif_sites(omics.CHG)(spark, sf)
     assert sites.count() > 0 and omics.site_counts(spark, sf).agg(F.sum("n")).first()[0] == sites.count()
     assert {r["sample"] for r in omics.backbone(spark, sf).collect()} == {"ocr_scan", "bulk_xml"}
@@ -87,3 +88,17 @@ def test_reads_of_the_other_strand_are_mapped(spark, tmp_path):
     sf = documents(spark, tmp_path, [(1, "ocr_scan", tag), (2, "ocr_scan", rc(tag))])
     piles = omics.pileup(spark, sf).collect()
     assert {r["ref_seq"] for r in piles} == {tag} and all(r[tag[r["pos"] - 1]] == 2 for r in piles)
+
+
+def test_samples_are_those_of_the_documents(spark, tmp_path):
+    alfi = filled("GCA" + "ACCTGA" + "TGC", 10, 10)
+    site, cjei = filled("TCAGA", 14, 14), [filled("CCA" + "".join(RNG.choices("ACGT", k=6)) + "GT", 15, 15) for _ in range(12)]
+    rows = [(i, source, (alfi + site) * 4 + "".join(cjei)) for i, source in enumerate(("fax.line", None, "fax.line", "ocr_scan"), 1)]
+    sf, names = documents(spark, tmp_path, rows), {"fax.line", "none", "ocr_scan"}
+    assert tags.sample_names(spark, sf) == sorted(names)
+    with pytest.raises(ValueError, match="more than 2 samples"):
+        tags.sample_names(spark, sf, most=2)
+    assert set(omics.site_matrix(spark, sf).columns) == names | {"sequence"} and omics.site_matrix(spark, sf).where("none >= 2").count() > 0
+    assert {r["call_rate"] for r in omics.site_quality(spark, sf).collect()} == {1.0}
+    assert {len(r["line"].split(" ")) for r in omics.genotype_lines(spark, sf).collect()} == {6}
+    assert {r["sample"] for r in tags.abundance_unpivot(spark, sf).where("abundance > 0").collect()} == names
