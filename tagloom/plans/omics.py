@@ -117,11 +117,12 @@ def manifest_long(spark, sf_dir):
 
 
 def merged_pairs(spark, sf_dir):
-    """Pairs of every 160 letters of the documents: bases 1-100, and 61-160 from the other strand."""
-    pairs = D.cut_reads(sequences(spark, sf_dir), ["doc_id"], 160).where("length(seq) = 160").select(
-        "doc_id", "part", F.substring("seq", 1, 100).alias("seq_1"), S.reverse_complement(F.substring("seq", 61, 100)).alias("seq_2")
+    """Pairs of every 160 letters of the documents, the last piece shorter: its first 100 bases, and its last 100 from the other strand."""
+    last = F.substr("seq", F.greatest(F.length("seq") - 99, F.lit(1)), F.lit(100))
+    pairs = D.cut_reads(sequences(spark, sf_dir), ["doc_id"], 160).select(
+        "doc_id", "part", F.substring("seq", 1, 100).alias("seq_1"), S.reverse_complement(last).alias("seq_2")
     )
-    return Q.merge_pairs(pairs, ["doc_id", "part"], share=1.0)
+    return Q.merge_pairs(pairs, ["doc_id", "part"])
 
 
 # --- methylation ------------------------------------------------------------------------------
@@ -142,16 +143,8 @@ def site_totals(spark, sf_dir):
     return M.site_totals(M.copy_numbers(motif_sites(CHG)(spark, sf_dir)))
 
 
-def _starts(spark, sf_dir, every: int):
-    """Reads of 50 bases from every so many-th base of the documents."""
-    at = F.sequence(F.lit(0), F.length("seq") - 50, F.lit(every))
-    s = sequences(spark, sf_dir).where("length(seq) >= 50").select("doc_id", "sample", "seq", F.explode(at).alias("at"))
-    return s.select("doc_id", "sample", "at", F.substr("seq", F.col("at") + 1, F.lit(50)).alias("seq"))
-
-
 def fixed_motif_reads(spark, sf_dir):
-    reads = _starts(spark, sf_dir, 37).withColumn("qual", F.col("seq"))
-    return D.fixed_motif_reads(reads, RLAI, ["doc_id", "at"], adapter="ACGTACGTACG")
+    return D.fixed_motif_reads(_reads(spark, sf_dir), RLAI, ["library_id", "rec_no"], adapter="ACGTACGTACG")
 
 
 def _site_counts(spark, sf_dir):

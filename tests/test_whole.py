@@ -102,3 +102,21 @@ def test_samples_are_those_of_the_documents(spark, tmp_path):
     assert {r["call_rate"] for r in omics.site_quality(spark, sf).collect()} == {1.0}
     assert {len(r["line"].split(" ")) for r in omics.genotype_lines(spark, sf).collect()} == {6}
     assert {r["sample"] for r in tags.abundance_unpivot(spark, sf).where("abundance > 0").collect()} == names
+
+
+def test_last_pieces_are_merged(spark, tmp_path):
+    rows = [(1, "ocr_scan", filled("", 105, 105)), (2, "ocr_scan", filled("", 45, 45)), (3, "ocr_scan", filled("", 60, 60))]
+    got = {(r["doc_id"], r["part"]): r["merged"] for r in omics.merged_pairs(spark, documents(spark, tmp_path, rows)).collect()}
+    assert got == {(i, k // 160): seq[k : k + 160] for i, _, seq in rows for k in range(0, len(seq), 160)}
+
+
+def test_fixed_motif_reads_are_the_records(spark, tmp_path):
+    m = omics.RLAI
+    at = m.start - 1
+    seq = filled("CCAGT", at, 30)
+    qual = "".join(chr(40 + i) for i in range(len(seq)))
+    data = [("L", 1, seq, qual), ("L", 2, "A" * 50, "I" * 50), ("L", 3, None, None)]
+    spark.createDataFrame(data, "library_id string, rec_no long, seq string, qual string").write.parquet(f"{tmp_path}/fastq_records.parquet")
+    got = {r["rec_no"]: r for r in omics.fixed_motif_reads(spark, str(tmp_path)).collect()}
+    assert set(got) == {1, 2, 3} and got[1]["status"] == "matched" and got[2]["status"] == got[3]["status"] == "no_match"
+    assert (got[1]["sequence"], got[1]["quality"]) == (seq[at - m.left :][: m.length], qual[at - m.left :][: m.length])
