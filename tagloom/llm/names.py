@@ -4,12 +4,13 @@ The distinct typed values (one shuffle with map-side combining, so frequent plac
 early) meet a multi-pattern automaton over the canonical names and their aliases: binomial, joined
 binomial, reversed binomial, and genus shortened to its first letters where that is unambiguous.
 Of the mentions found in a value the longest non-overlapping ones win. Values without a mention go
-to token-set similarity: pairs of their words in either order against genus and epithet words,
-by edits (insertion, deletion, substitution, swap of neighbours). The result is joined back to the
-rows by the typed value.
+to token-set similarity: any two of their words, wherever they stand, against genus and epithet
+words, by edits (insertion, deletion, substitution, swap of neighbours). The words near a given one
+come from an inverted index over deletion neighbourhoods, so the list is never scanned. The result
+is joined back to the rows by the typed value.
 
-The reference list is bounded: more than ``MAX_NAMES`` names are an error, so what each task holds
-never grows with the data.
+The reference list is bounded: more than ``MAX_NAMES`` names are an error. Its matcher is built once
+and travels as a broadcast, so what each task holds never grows with the data.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from itertools import pairwise
+from itertools import combinations
 
 import ahocorasick
 import numpy as np
@@ -25,8 +26,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_NAMES = 100_000
+MAX_NAMES = 50_000
 MAX_EDITS = 3
+SHORT_WORD = 4
 SHORT_GENUS = range(1, 7)
 NO_NAMES = ("", "na", "n/a", "-")
 #: words that stand between genus and epithet without changing the name
@@ -58,26 +60,83 @@ def edits(a: str, b: str, most: int) -> int:
     return min(last[-1], most + 1)
 
 
-class _Words:
-    """Words near a given one: letter counts rule most of the vocabulary out at once."""
+PREFIX = 7
+
+
+def _keep_rows(length: int) -> np.ndarray:
+    """For a prefix of so many letters: one row per way to delete up to ``MAX_EDITS``, with the place values of the kept letters."""
+    rows = []
+    for gone in range(min(MAX_EDITS, length) + 1):
+        for out in combinations(range(length), gone):
+            kept = [i for i in range(length) if i not in out]
+            row = [0] * length
+            for power, i in enumerate(reversed(kept)):
+                row[i] = 27**power
+            rows.append(row)
+    return np.array(rows, dtype=np.int64).reshape(-1, length)
+
+
+_KEEP = [_keep_rows(max(1, n)) for n in range(PREFIX + 1)]
+
+
+def _letters(word: str) -> np.ndarray:
+    return np.frombuffer(word.encode(), np.uint8).astype(np.int64) - 96
+
+
+class WordIndex:
+    """Inverted index from deletion neighbourhoods to words.
+
+    Two words within ``MAX_EDITS`` share what is left of their first ``PREFIX`` letters after up to
+    ``MAX_EDITS`` deletions on each side. The index holds these remainders as numbers, sorted; a
+    word's own remainders are looked up by binary search, and only what shares one is compared.
+    """
 
     def __init__(self, vocabulary):
         self.words = sorted(vocabulary)
-        self.bags = np.array([self.bag(w) for w in self.words], dtype=np.int16).reshape(-1, 26)
+        self.known = {w: i for i, w in enumerate(self.words)}
+        self.lengths = np.array([len(w) for w in self.words], dtype=np.int32)
+        self.bags = np.array([self.bag(w) for w in self.words], dtype=np.int8).reshape(-1, 26)
+        keys, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        by_length = defaultdict(list)
+        for i, w in enumerate(self.words):
+            by_length[min(len(w), PREFIX)].append(i)
+        for n, members in by_length.items():
+            codes = np.array([_letters(self.words[i][:PREFIX]) for i in members]) @ _KEEP[n].T
+            keys.append(codes.reshape(-1))
+            ids.append(np.repeat(np.array(members, np.int32), codes.shape[1]))
+        keys, ids = np.concatenate(keys), np.concatenate(ids)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ids = keys[order], ids[order]
 
     @staticmethod
     def bag(word: str) -> list[int]:
         n = Counter(word)
-        return [n[c] for c in "abcdefghijklmnopqrstuvwxyz"]
-
-    def near(self, word: str, most: int) -> dict[str, int]:
-        if not self.words:
+        return [min(n[c], 100) for c in "abcdefghijklmnopqrstuvwxyz"]
+
+    def near(self, word: str, most: int = MAX_EDITS) -> dict[str, int]:
+        """Words within ``most`` edits; words under ``SHORT_WORD`` letters stand for themselves only."""
+        if len(word) < SHORT_WORD:
+            return {word: 0} if word in self.known else {}
+        codes = np.unique(_KEEP[min(len(word), PREFIX)] @ _letters(word[:PREFIX]))
+        low, high = np.searchsorted(self.keys, codes, "left"), np.searchsorted(self.keys, codes, "right")
+        spans = [self.ids[a:b] for a, b in zip(low.tolist(), high.tolist()) if b > a]
+        if not spans:
             return {}
-        close = np.flatnonzero(np.abs(self.bags - np.array(self.bag(word), dtype=np.int16)).sum(axis=1) <= 2 * most)
-        found = {self.words[i]: edits(word, self.words[i], most) for i in close.tolist()}
+        some = np.unique(np.concatenate(spans))
+        some = some[np.abs(self.lengths[some] - len(word)) <= most]
+        close = np.abs(self.bags[some].astype(np.int16) - np.array(self.bag(word), dtype=np.int16)).sum(axis=1) <= 2 * most
+        found = {self.words[i]: edits(word, self.words[i], most) for i in some[close].tolist()}
         return {w: d for w, d in found.items() if d <= most}
 
 
+def one_swap(a: str, b: str) -> bool:
+    """Whether two words differ by one swap of neighbouring letters."""
+    if len(a) != len(b):
+        return False
+    at = [i for i, (x, y) in enumerate(zip(a, b)) if x != y]
+    return len(at) == 2 and at[1] == at[0] + 1 and a[at[0]] == b[at[1]] and a[at[1]] == b[at[0]]
+
+
 class NameMatcher:
     """Typed value -> (canonical name, how it was found) for a bounded list of binomials."""
 
@@ -87,29 +146,32 @@ class NameMatcher:
             w = words(name)
             if len(w) >= 2:
                 self.listed.setdefault((w[0], " ".join(w[1:])), name)
-        self.genera, self.epithets = _Words({g for g, _ in self.listed}), _Words({e for _, e in self.listed})
-        self.joined = _Words({(g + e).replace(" ", "") for g, e in self.listed})
+        self.genera, self.epithets = WordIndex({g for g, _ in self.listed}), WordIndex({e for _, e in self.listed if " " not in e})
+        self.joined = WordIndex({(g + e).replace(" ", "") for g, e in self.listed})
         self.by_joined = {(g + e).replace(" ", ""): n for (g, e), n in self.listed.items()}
+        self.longest = max(map(len, self.by_joined), default=0)
         self.support = Counter(e for _, e in self.listed)
         aliases: dict[str, set[str]] = defaultdict(set)
         for (g, e), name in self.listed.items():
             for n in SHORT_GENUS:
                 if n < len(g):
                     aliases[f" {g[:n]} {e} "].add(name)
+        # over mirrored text, where all aliases of a name share their way through the epithet
         self.automaton = ahocorasick.Automaton()
         for alias, owners in aliases.items():
             if len(owners) == 1:
-                self.automaton.add_word(alias, (len(alias), next(iter(owners)), "short"))
+                self.automaton.add_word(alias[::-1], (len(alias), next(iter(owners)), "short"))
         for (g, e), name in self.listed.items():  # after the aliases: a full name overrides
             for alias in (f" {g}{e} ", f" {e} {g} ", f" {g} {e} "):
-                self.automaton.add_word(alias, (len(alias), name, "mention"))
+                self.automaton.add_word(alias[::-1], (len(alias), name, "mention"))
         if self.listed:
             self.automaton.make_automaton()
 
     def mentions(self, typed: list[str]) -> list[tuple[int, int, str, str]]:
         """Longest non-overlapping mentions as (length, -end, name, how), best first."""
         text = " " + " ".join(typed) + " "
-        found = sorted(((n, -end, name, how) for end, (n, name, how) in self.automaton.iter(text)), reverse=True)
+        last = len(text) - 1
+        found = sorted(((n, end - n + 1 - last, name, how) for end, (n, name, how) in self.automaton.iter(text[::-1])), reverse=True)
         kept: list[tuple[int, int, str, str]] = []
         for n, end, name, how in found:
             start = -end - n + 1
@@ -117,35 +179,48 @@ class NameMatcher:
                 kept.append((n, end, name, how))
         return kept
 
+    def near_names(self, typed: list[str]) -> list[tuple[int, str, str]]:
+        """(edits, genus, epithet) of every genus and epithet near two different words of the value, wherever they stand."""
+        genera: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        epithets: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        for at, word in enumerate(dict.fromkeys(typed)):
+            for near, found in ((self.genera, genera), (self.epithets, epithets)):
+                for w, d in near.near(word).items():
+                    found[w] = sorted([*found[w], (d, at)])[:2]
+        out = []
+        for g, gs in genera.items():
+            for e, es in epithets.items():
+                if sums := [dg + de for dg, i in gs for de, j in es if i != j and dg + de <= MAX_EDITS]:
+                    out.append((min(sums), g, e))
+        return out
+
     def similar(self, typed: list[str]) -> str | None:
-        best: tuple | None = None
-        near_unlisted = False
-        for a, b in [*pairwise(typed), *((b, a) for a, b in pairwise(typed))]:
-            if len(a) < 4 or len(b) < 4:
-                continue
-            genera, epithets = self.genera.near(a, MAX_EDITS), self.epithets.near(b, MAX_EDITS)
-            sums = [(dg + de, (g, e)) for g, dg in genera.items() for e, de in epithets.items() if dg + de <= MAX_EDITS]
-            if not sums:
-                continue
-            least = min(d for d, _ in sums)
-            # a misspelt value may stand one edit nearer to a combination off the list, an exact one is that species
-            most = least + (least > 0)
-            ranks = [(d, -self.support[key[1]], self.listed[key]) for d, key in sums if d <= most and key in self.listed]
-            near_unlisted |= not ranks  # another species of that genus
-            best = min([*ranks, *([best] if best else [])], default=None)
-            if least == 0:
-                return best[2] if best and best[0] == 0 else None
-        if best is None and not near_unlisted:  # an edit may have moved the space between the words
-            for n in (1, 2, 3):
-                for i in range(len(typed) - n + 1):
-                    if n == 2 and typed[i] in self.genera.words and typed[i + 1] in self.epithets.words:
-                        continue
-                    whole = "".join(typed[i : i + n])
-                    if len(whole) >= 8:
-                        for w, d in self.joined.near(whole, MAX_EDITS).items():
-                            rank = (d, 0, self.by_joined[w])
-                            best = min(best, rank) if best else rank
-        return best[2] if best else None
+        """The listed name with the most similar set of words, or None.
+
+        Edits add up over genus and epithet. A listed name may stand one edit behind the nearest
+        combination off the list. Where that combination is written exactly it is another species,
+        unless one swap of neighbouring letters makes it a listed name: that is a slip of typing.
+        """
+        near = self.near_names(typed)
+        if near:
+            least = min(d for d, _, _ in near)
+            ranks = [(d, -self.support[e], self.listed[g, e]) for d, g, e in near if d <= least + 1 and (g, e) in self.listed]
+            if least == 0 and (not ranks or min(ranks)[0] > 0):
+                exact = [(g, e) for d, g, e in near if d == 0]
+                ranks = [
+                    (d, -self.support[e], self.listed[g, e]) for d, g, e in near
+                    if (g, e) in self.listed and any((g == a and one_swap(e, b)) or (e == b and one_swap(g, a)) for a, b in exact)
+                ]
+            return min(ranks)[2] if ranks else None
+        best: tuple | None = None  # an edit may have moved the space between the words
+        for n in (1, 2, 3):
+            for i in range(len(typed) - n + 1):
+                whole = "".join(typed[i : i + n])
+                if 8 <= len(whole) <= self.longest + MAX_EDITS:
+                    for w, d in self.joined.near(whole).items():
+                        rank = (d, self.by_joined[w])
+                        best = min(best, rank) if best else rank
+        return best[1] if best else None
 
     def match(self, value: str) -> tuple[str | None, str | None]:
         typed = words(value)
@@ -176,8 +251,10 @@ def map_values(values: DataFrame, names: list[str], column: str = "species") ->
     # aggregate's, else Spark drops the exchange and merges the partitions by their bytes.
     typed = typed.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("typed"))
 
+    shared = values.sparkSession.sparkContext.broadcast(NameMatcher(names))
+
     def run(frames):
-        matcher = NameMatcher(names)
+        matcher = shared.value
         for pdf in frames:
             found = [matcher.match(v) for v in pdf["typed"]]
             yield pd.DataFrame(

@@ -21,8 +21,10 @@ TYPED = {
     "Galocola montarius": "Galocola_montarius",
     "Galocola flavatica": None,  # genus and epithet listed, not together
     "Galocola flavtica": None,  # nearest to that unlisted combination, none of the list near
-    "Gravicola urbarius": None,
+    "Gravicola urbarius": "Gravicola_rubarius",  # one swap of neighbours from a listed name: a slip, though it is written like another one
     "Gravicola urbraius": "Gravicola_rubarius",  # misspelt, so the unlisted combination doesn't stand in the way
+    "Xantalubactre bacterium ontensis": "Xantalubacter_montensis",  # similar words needn't be neighbours
+    "salinraius isolate of Thalcola": "Thalocola_salinarius",
     "Thalocola": None, "uncultured Thalocola": None, "Thalocola sp. 7": None,
     "unknown": None, "": None, "   ": None, "-": None, "海": None,
     "G. flavatica": None, "Thalocola kwarziphila": None,
@@ -52,6 +54,21 @@ def test_edits_equal_brute_force():
         assert names.edits(a, b, 3) == min(slow(a, b), 4)
 
 
+def test_index_equals_scan():
+    rng = random.Random(4)
+    vocabulary = {"".join(rng.choices("abc", k=rng.randint(1, 11))) for _ in range(300)}
+    index = names.WordIndex(vocabulary)
+    for _ in range(200):
+        word = "".join(rng.choices("abc", k=rng.randint(4, 11)))
+        assert index.near(word) == {w: d for w in vocabulary if (d := names.edits(word, w, 3)) <= 3}
+    assert index.near("ab") == ({"ab": 0} if "ab" in vocabulary else {})
+    assert names.WordIndex([]).near("abcd") == {}
+
+
+def test_one_swap():
+    assert names.one_swap("urbi", "rubi") and not names.one_swap("rubi", "rubi") and not names.one_swap("abc", "cba") and not names.one_swap("ab", "a")
+
+
 def test_rows(spark):
     rows = [(i, k, "c", "t") for i, k in enumerate(TYPED)] + [(90, None, "c", "t"), (91, "T. salinarius", "c", "t"), (91, "T. salinarius", "c", "t")]
     df = spark.createDataFrame(rows, "entry_id long, species string, canonical string, typed string")
