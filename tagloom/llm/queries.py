@@ -29,8 +29,7 @@ def p2_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = table(spark, sf_dir, "fastq_records").select("rec_no", "read_id", "library_id", "piece_no")
-    return sample.uniform_sample(records, SAMPLE_SIZE)
+    return sample.uniform_sample(table(spark, sf_dir, "fastq_records"), SAMPLE_SIZE)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,12 +118,31 @@ def shard_segments(df: DataFrame, size: int, seed: int, buffer_rows: int, max_sh
     return rec.mapInArrow(run, schema)
 
 
+def shard_quotas(populations: list[int], size: int, rng: np.random.Generator) -> list[int]:
+    """A multivariate hypergeometric draw: how many of ``size`` records each shard gives.
+
+    ``size`` different record numbers are drawn out of all records and counted by the shard they lie
+    in, which is that distribution exactly for any population below 2**63. Of more than half of the
+    records, those that stay out are drawn instead.
+    """
+    ends = np.cumsum(np.array(populations, dtype=np.int64))
+    total = int(ends[-1]) if len(ends) else 0
+    size = min(size, total)
+    inverse = 2 * size > total
+    wanted = total - size if inverse else size
+    places = np.zeros(0, np.int64)
+    while len(places) < wanted:  # draws until so many are different: every set has the same chance
+        places = np.unique(np.append(places, rng.integers(total, size=wanted - len(places))))
+    drawn = np.bincount(np.searchsorted(ends, places, side="right"), minlength=len(ends))
+    return (np.array(populations, dtype=np.int64) - drawn if inverse else drawn).tolist()
+
+
 def uniform_sample(
     df: DataFrame, size: int, seed: int = 7, buffer_rows: int | None = None, max_shards: int = MAX_SHARDS
 ) -> DataFrame:
     """``size`` rows of ``df`` (all if it has fewer), every row with the same chance.
 
-    Repeated rows are rows of their own; nulls in any column make no difference; an empty input
+    Repeated rows are rows of their own, so a record that was delivered twice has two chances; nulls in any column make no difference; an empty input
     gives an empty sample. The result is fixed by the seed and the input's partitions. The tables
     of numbers are bounded by ``max_shards`` and the segments of a shard (about
     size / buffer_rows * (1 + ln(population / size))), never by the data.
@@ -136,25 +155,15 @@ def uniform_sample(
 
     def draw_shards(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard").reset_index(drop=True)
-        rng = np.random.default_rng([seed, 1 << 30])
-        population = pdf["population"].to_numpy()
-        left, take = int(population.sum()), min(size, int(population.sum()))
-        quota = []
-        for p in population.tolist():  # multivariate hypergeometric, one marginal at a time
-            if left - p <= 0:
-                q = take
-            elif left <= 10**9:
-                q = int(rng.hypergeometric(p, left - p, take)) if take else 0
-            else:  # numpy's limit; with so many rows draws with and without replacement agree
-                q = int(rng.binomial(take, p / left))
-            quota.append(q)
-            left, take = left - p, take - q
+        quota = shard_quotas(pdf["population"].tolist(), size, np.random.default_rng([seed, 1 << 30]))
         return pd.DataFrame({"shard": pdf["shard"], "quota": quota})
 
     def draw_segments(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("flush").reset_index(drop=True)
         rng = np.random.default_rng([seed, 1 << 31, int(pdf["shard"][0])])
         live = pdf["live"].to_numpy()
+        if live.sum() < min(size, pdf["population"][0]):
+            raise ValueError(f"shard {pdf['shard'][0]} keeps {live.sum()} records")
         q = rng.multivariate_hypergeometric(live, int(pdf["quota"][0]), method="marginals")
         return pd.DataFrame({"shard": pdf["shard"], "flush": pdf["flush"], "quota": q})
 

@@ -82,6 +82,21 @@ def test_sample_of_uneven_shards_small_and_empty_inputs(spark):
         sample.uniform_sample(df, 0)
 
 
+def test_quotas_are_hypergeometric_for_any_population():
+    rng = np.random.default_rng(1)
+    for populations, size in (([10**12, 3 * 10**12, 0, 5], 1000), ([2**61, 2**61, 2**61], 300), ([30, 10, 60], 40), ([30, 10, 60], 90), ([5, 6], 50), ([7], 3)):
+        drawn = np.array([sample.shard_quotas(populations, size, rng) for _ in range(2000)])
+        total = sum(populations)
+        n = min(size, total)
+        assert (drawn.sum(axis=1) == n).all() and (drawn >= 0).all() and (drawn <= np.array(populations, dtype=float)).all()
+        share = np.array([p / total for p in populations])
+        spread = n * share * (1 - share) * ((total - n) / max(total - 1, 1))
+        assert (np.abs(drawn.mean(axis=0) - n * share) <= 5 * np.sqrt(spread / 2000) + 1e-3).all()
+        wide = spread > 5
+        assert (np.abs(drawn.var(axis=0)[wide] / spread[wide] - 1) < 0.2).all()
+    assert sample.shard_quotas([], 5, rng) == [] and sample.shard_quotas([0, 0], 5, rng) == [0, 0]
+
+
 def test_frequent_values_ties_nulls_and_empty(spark):
     rows = [("a",)] * 4 + [("A",)] + [("b",)] * 2 + [("c",)] * 2 + [(None,)]
     df = spark.createDataFrame(rows, "n string")
