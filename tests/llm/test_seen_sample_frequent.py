@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -14,11 +16,38 @@ def test_quotient_filter_round_trip_and_merge(a, b):
     make = lambda s: seen.QuotientFilter.of_sorted(np.array(sorted(s), dtype=np.uint64), 12, 2)
     assert make(a).fingerprints().tolist() == sorted(a)
     both = make(a).merge(make(b))
-    assert both.fingerprints().tolist() == sorted(a | b) and len(both.remainders) == 2 * len(a | b)
+    assert both.fingerprints().tolist() == sorted(a | b) and both.remainders.nbytes == 2 * len(a | b)
+    assert make(a).merge(make(b), 64).fingerprints().tolist() == sorted(a | b)
     probe = np.array(sorted(b) + [2**28 - 1], dtype=np.uint64)
     assert make(a).contains(probe).tolist() == [int(x) in a for x in probe]
 
 
+def test_search_and_merge_stay_packed():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 2**44, 1_000_000).astype(np.uint64))
+    some = seen.QuotientFilter.of_sorted(keys[::2], 20, 3)
+    assert some.nbytes() < 3.6 * some.n
+    assert some.contains(keys).tolist() == [i % 2 == 0 for i in range(len(keys))]
+    crowded = seen.QuotientFilter.of_sorted(np.arange(0, 3000, 3, dtype=np.uint64), 4, 1)
+    assert crowded.contains(np.arange(3000, dtype=np.uint64)).tolist() == [i % 3 == 0 for i in range(3000)]
+    tracemalloc.start()
+    some.contains(keys[:1000])
+    assert tracemalloc.get_traced_memory()[1] < 3 * some.n  # directories of the bitmaps; unpacked numbers would take 8 bytes each and more
+    tracemalloc.stop()
+
+
+def test_fold_holds_one_epoch_at_a_time():
+    fold, rng, earlier = seen._Fold(12, 2), np.random.default_rng(5), set()
+    for epoch in range(6):
+        fps = np.unique(rng.integers(0, 2**28, 500).astype(np.uint64))
+        fps = np.union1d(fps, np.array(sorted(earlier)[::7], dtype=np.uint64))
+        got = np.concatenate([fold.part(("a", 0), epoch, part) for part in np.array_split(fps, 4)])
+        assert got.tolist() == [int(x) not in earlier for x in fps]
+        assert sum(map(len, fold.arrived)) == got.sum() and fold.filter.n == len(earlier)
+        earlier |= set(fps.tolist())
+    assert fold.part(("a", 1), 0, fps).all()
+
+
 def test_canonical_read_id(spark):
     cases = {
         " @>id/1 x": "id", "id/1/2": "id/1", "\t@ id": "id", "ID": "ID", "id/3": "id/3", "id.1": "id.1",
@@ -29,9 +58,9 @@ def test_canonical_read_id(spark):
     assert got == list(cases.values())
 
 
-@pytest.mark.parametrize("epochs", [1, 3, 50])
-def test_seen_before_equals_brute_force(spark, epochs, monkeypatch):
-    monkeypatch.setattr(seen, "SLICE_KEYS", 40)
+@pytest.mark.parametrize("epochs,keys", [(1, 40), (3, 40), (50, 40), (3, 10**6)])
+def test_seen_before_equals_brute_force(spark, epochs, keys, monkeypatch):
+    monkeypatch.setattr(seen, "SLICE_KEYS", keys)
     rng = np.random.default_rng(1)
     rows = [(int(i), "hot" if rng.random() < 0.3 else f"k{rng.integers(150)}", "x") for i in rng.permutation(500)]
     rows += [(None, "hot", "x"), (600, None, "x"), (601, "tie", "x"), (601, "tie", "x"), (601, "hot", "x")]
