@@ -1,12 +1,17 @@
 """Visually identical text with different characters: one canonical form (problem 8).
 
-Words of a text are read by a weighted edit automaton over a trie of canonical spellings: reading
-a look-alike of an edge's letter or a character that nobody sees costs nothing, every visible edit
-costs one, and with the default budget of none only words that look the same are matched. The trie
-holds the most frequent clean spellings of the whole corpus, counted over every text; its size is
-a parameter, so what each task holds never grows with the data. Words without a match, and
-everything between words, are normalised by the table of the same equivalences, so both ways give
-the same spelling and the result doesn't depend on the trie's size.
+Words of a text are read by a weighted edit automaton over a trie of spellings: reading a look-alike
+of an edge's letter or a character that nobody sees costs nothing, every visible edit costs one, and
+with the default budget of none only spellings that look the same are reached. The automaton holds
+all of them at once, in whatever script they are written, and the most frequent one is the canonical
+spelling: a Cyrillic word stays Cyrillic, and a Latin one with Cyrillic letters in it becomes Latin.
+The trie holds the most frequent spellings in one script, counted over every text; its size is a
+parameter, so what each task holds never grows with the data. Words that reach no spelling, and
+everything between words, are normalised by the table of the same equivalences.
+
+What looks the same reaches the same spellings, and a spelling is only reached by what looks like
+it. So texts get one form if and only if the table makes them equal, whatever the trie holds; the
+trie decides how that form is written.
 
 The form keeps what can be seen: letter case, accents, digits, punctuation, raised or circled
 digits, fractions.
@@ -29,12 +34,14 @@ from tagloom.session import checkpointed
 
 VOCABULARY = 50_000
 
-# Letters of other scripts that look like Latin ones, in the order of the target.
+# Letters of other scripts that look like Latin ones (Greek, Cyrillic, Armenian, letter-like
+# Roman numerals), and signs that look like others, in the order of the target.
 LOOK_ALIKES = {
-    "A": "ΑА", "B": "ΒВ", "C": "СϹ", "E": "ΕЕ", "H": "ΗН", "I": "ΙІ", "J": "ЈͿ", "K": "ΚК", "M": "ΜМ",
-    "N": "Ν", "O": "ΟО", "P": "ΡР", "Q": "Ԛ", "S": "Ѕ", "T": "ΤТ", "W": "Ԝ", "X": "ΧХ", "Y": "ΥҮ", "Z": "Ζ",
-    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "h": "һ", "i": "і", "j": "јϳ", "l": "ӏ", "o": "οо",
-    "p": "р", "q": "ԛ", "s": "ѕ", "v": "ν", "w": "ԝ", "x": "х", "y": "у", "μ": "µ",
+    "A": "ΑА", "B": "ΒВ", "C": "СϹⅭ", "D": "Ⅾ", "E": "ΕЕ", "H": "ΗН", "I": "ΙІӀⅠ", "J": "ЈͿ", "K": "ΚК", "L": "Ⅼ", "M": "ΜМⅯ",
+    "N": "Ν", "O": "ΟОՕ", "P": "ΡР", "Q": "Ԛ", "S": "ЅՏ", "T": "ΤТ", "V": "ѴⅤ", "W": "Ԝ", "X": "ΧХⅩ", "Y": "ΥҮ", "Z": "Ζ",
+    "a": "а", "c": "сϲⅽ", "d": "ԁⅾ", "e": "е", "g": "ɡց", "h": "һհ", "i": "іⅰ", "j": "јϳ", "l": "ӏⅼ", "m": "ⅿ", "o": "οоօ",
+    "p": "р", "q": "ԛզ", "s": "ѕ", "u": "ս", "v": "νѵⅴ", "w": "ԝ", "x": "хⅹ", "y": "у", "μ": "µ",
+    "Δ": "∆", "·": "⋅∙", ":": "∶", "*": "∗", "/": "∕", "|": "∣", "~": "∼",
 }
 HYPHENS = "‐‑﹣－"
 # Ranges of the characters that Unicode calls default ignorable.
@@ -61,7 +68,33 @@ def equivalence_table() -> dict[int, str]:
 
 
 _GAPS = re.compile(r"([ \t\n\r]+)")
-_CLEAN_WORD = re.compile(r"[^\W\d_]{2,40}")
+_ASCII_WORDS = re.compile("[A-Za-z]+")
+#: scripts with look-alikes in each other; a spelling doesn't mix them
+_CONFUSABLE = {"LATIN", "GREEK", "CYRILLIC", "ARMENIAN"}
+LONGEST = 40
+
+
+@cache
+def _script(c: str) -> str:
+    return unicodedata.name(c, "?").split(" ", 1)[0]
+
+
+def fold(text: str) -> str:
+    """The table's form of a text."""
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(equivalence_table()))
+
+
+def is_spelling(word: str) -> bool:
+    """Whether a word can be canonical: composed letters of one script, none of them wide, narrow, hidden or a sign."""
+    if not (2 <= len(word) <= LONGEST and word.isalpha()):
+        return False
+    if word.isascii():
+        return True
+    scripts = {x for c in word if (x := _script(c)) in _CONFUSABLE}
+    if len(scripts) > 1 or unicodedata.normalize("NFC", word) != word:
+        return False
+    table = equivalence_table()
+    return all(ord(c) not in table or _script(c) in scripts - {"LATIN"} for c in unicodedata.normalize("NFD", word))
 
 
 class Canonicalizer:
@@ -72,57 +105,67 @@ class Canonicalizer:
         spaces = "".join(chr(k) for k, v in self.table.items() if v == " ")
         self._spaces = re.compile(f"[{spaces}]")
         hidden = "".join(f"{chr(a)}-{chr(b)}" for a, b in INVISIBLE)
-        self._word = re.compile(rf"([^\W\d_](?:[^\W\d_]|[̀-ͯ{hidden}])*)")
+        # a character is part of a word exactly where what it looks like is
+        self.words = re.compile(rf"((?:[^\W\d_]|∆)(?:[^\W\d_]+|[∆\u0300-\u036f\u3099\u309a{hidden}]+)*)")
+        #: letters that look like a letter of the table's form, itself first
+        self.alike = {k: (k, *v) for k, v in LOOK_ALIKES.items()}
         self.trie: dict = {}
+        #: Latin-looking words whose canonical spelling is another one
+        self.turned: dict[str, str] = {}
         for word, n in (spellings or {}).items():
+            if not is_spelling(word):
+                continue
             node = self.trie
             for c in unicodedata.normalize("NFD", word):
                 node = node.setdefault(c, {})
             node[""] = (n, word)
+            if not word.isascii() and (seen := fold(word)).isascii():
+                best = min((-n, word), (-(spellings.get(x := self.turned.get(seen, seen), 0)), x))[1]
+                if best != seen:
+                    self.turned[seen] = best
         self._known: dict[str, str] = {}
 
     def by_table(self, text: str) -> str:
-        return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(self.table))
+        return fold(text)
 
     def by_trie(self, word: str) -> str | None:
         """The canonical spelling at the least cost within the budget, the most frequent of equals."""
         states: dict[int, tuple[int, dict]] = {id(self.trie): (0, self.trie)}
         for c in unicodedata.normalize("NFD", word):
-            seen = self.table.get(ord(c), c)
-            if not seen:
-                continue
-            after: dict[int, tuple[int, dict]] = {}
-
-            def reach(cost: int, node: dict, after=after) -> None:
-                if cost <= self.budget and (id(node) not in after or after[id(node)][0] > cost):
-                    after[id(node)] = (cost, node)
-
-            for cost, node in states.values():
-                target = node
-                for x in seen:
-                    target = target.get(x) if target else None
-                if target:
-                    reach(cost, target)
-                if cost < self.budget:
-                    reach(cost + 1, node)  # a character too many
-                    for edge, child in node.items():
-                        if edge:
-                            reach(cost + 1, child)  # another character
-                            for e2, c2 in child.items():
-                                if e2 == seen:
-                                    reach(cost + 1, c2)  # a character missing
-            if not after:
-                return None
-            states = after
+            for seen in self.table.get(ord(c), c):  # nothing for what nobody sees
+                after: dict[int, tuple[int, dict]] = {}
+
+                def reach(cost: int, node: dict, after=after) -> None:
+                    if cost <= self.budget and (id(node) not in after or after[id(node)][0] > cost):
+                        after[id(node)] = (cost, node)
+
+                letters = self.alike.get(seen, (seen,))
+                for cost, node in states.values():
+                    for x in letters:
+                        if x in node:
+                            reach(cost, node[x])
+                    if cost < self.budget:
+                        reach(cost + 1, node)  # a character too many
+                        for edge, child in node.items():
+                            if edge:
+                                reach(cost + 1, child)  # another character
+                                for x in letters:
+                                    if x in child:
+                                        reach(cost + 1, child[x])  # a character missing
+                if not after:
+                    return None
+                states = after
         ends = [(cost, -node[""][0], node[""][1]) for cost, node in states.values() if "" in node]
         return min(ends)[2] if ends else None
 
     def token(self, token: str) -> str:
         known = self._known.get(token)
         if known is None:
-            parts = self._word.split(token) if self.trie else [token]
-            parts = [(i % 2 and self.by_trie(p)) or self.by_table(p) for i, p in enumerate(parts)]
-            known = unicodedata.normalize("NFC", "".join(parts))
+            if self.trie:
+                parts = [(i % 2 and self.by_trie(p)) or fold(p) for i, p in enumerate(self.words.split(token))]
+                known = unicodedata.normalize("NFC", "".join(parts))
+            else:
+                known = fold(token)
             if len(token) <= 64:
                 if len(self._known) >= 200_000:
                     self._known.clear()
@@ -131,40 +174,49 @@ class Canonicalizer:
 
     def __call__(self, text: str) -> str:
         if text.isascii():
-            return text
+            if not self.turned or self.turned.keys().isdisjoint(_ASCII_WORDS.findall(text)):
+                return text
+            return _ASCII_WORDS.sub(lambda m: self.turned.get(m[0], m[0]), text)
         parts = _GAPS.split(self._spaces.sub(" ", text))
+        if self.turned:
+            return "".join(map(self.token, parts))
         return "".join([p if p.isascii() else self.token(p) for p in parts])
 
 
 def count_spellings(df: DataFrame, text_col: str = "text", size: int = VOCABULARY) -> dict[str, int]:
-    """The ``size`` most frequent clean words of all texts with their counts.
+    """The ``size`` most frequent spellings of all texts with their counts, in whatever script.
 
-    Each task counts the words of its own rows first, so the shuffle holds distinct words only.
+    Each task counts the words of its own rows first, so the shuffle holds distinct words only. How
+    many words have which count tells the least count that is wanted, so no partition sends more
+    than it must; ties at the end go by the word.
     """
 
     def count(frames):
-        table = Canonicalizer()
+        words = Canonicalizer().words
         n: Counter[str] = Counter()
         for pdf in frames:
             for text in pdf["text"]:
-                n.update(_CLEAN_WORD.findall(text))
+                n.update((_ASCII_WORDS if text.isascii() else words).findall(text))
             if len(n) > 500_000:
-                yield _clean(n, table)
+                yield _clean(n)
                 n = Counter()
-        yield _clean(n, table)
+        yield _clean(n)
 
-    def _clean(n, table):
-        kept = [(w, k) for w, k in n.items() if w.isascii() or table.by_table(w) == w]
+    def _clean(n):
+        kept = [(w, k) for w, k in n.items() if is_spelling(w)]
         return pd.DataFrame({"word": [w for w, _ in kept], "n": [k for _, k in kept]}).astype({"word": "object", "n": "int64"})
 
     words = df.select(F.col(text_col).alias("text")).where("text is not null").mapInPandas(count, "word string, n long")
     counted = checkpointed(words.groupBy("word").agg(F.sum("n").alias("n")))
-    # a bound below the wanted counts first, else each partition would send its own top to the driver
-    bound, distinct = 0, counted.count()
-    if distinct > size:
-        bound = counted.agg(F.percentile_approx("n", max(0.0, 1 - 1.05 * size / distinct), 10_000)).first()[0]
+    # exact up to 1024, then 64 steps for each doubling: a few thousand rows however large the counts are
+    step = F.when(F.col("n") <= 1024, F.col("n")).otherwise(F.floor(F.log2("n") * 64) + 384)
+    enough, bound = 0, 0
+    for row in counted.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).orderBy(F.col("step").desc()).collect():
+        enough, bound = enough + row["words"], row["least"]
+        if enough >= size:
+            break
     top = counted.where(F.col("n") >= bound).orderBy(F.col("n").desc(), "word").limit(size)
-    return {r["word"]: r["n"] for r in top.collect()}
+    return {r["word"]: r["n"] for r in checkpointed(top).collect()}
 
 
 def canonical_texts(
@@ -192,7 +244,7 @@ def signatures(df: DataFrame, spellings: dict[str, int], id_col: str = "doc_id",
         canonical = Canonicalizer(shared.value)
         for pdf in frames:
             raw = [hashlib.md5(t.encode()).digest() for t in pdf["_text"]]
-            form = [r if t.isascii() else hashlib.md5(canonical(t).encode()).digest() for t, r in zip(pdf["_text"], raw)]
+            form = [r if (x := canonical(t)) == t else hashlib.md5(x.encode()).digest() for t, r in zip(pdf["_text"], raw)]
             yield pd.DataFrame({"_id": pdf["_id"], "form": form, "raw": raw})
 
     schema = T.StructType([source.schema["_id"], T.StructField("form", T.BinaryType()), T.StructField("raw", T.BinaryType())])
@@ -222,3 +274,21 @@ def same_looking_pairs(
         writings.where("id_x != id_y")
         .select(F.least("id_x", "id_y").alias(f"{id_col}_a"), F.greatest("id_x", "id_y").alias(f"{id_col}_b")).distinct()
     )
+
+
+def same_looking_classes(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY
+) -> DataFrame:
+    """(id, class, writings, links) of each non-empty text: the result that grows with the rows, not with their pairs.
+
+    ``class`` is the least id of the texts that share the form, ``writings`` in how many ways that
+    form is written, ``links`` how many rows of the class are written in another way; the pairs of
+    ``same_looking_pairs`` are twice as many links. Rows with a null id are left out, repeated rows
+    count once. Rows are counted by their writing first; they meet one row for each writing.
+    """
+    found = checkpointed(signatures(df, count_spellings(df, text_col, vocabulary), id_col, text_col))
+    rows = found.where(F.col("_id").isNotNull()).distinct()
+    ways = rows.groupBy("form", "raw").agg(F.count("*").alias("own"), F.min("_id").alias("low"))
+    forms = ways.groupBy("form").agg(F.sum("own").alias("all"), F.min("low").alias("class"), F.count("*").alias("writings"))
+    meant = ways.join(forms, "form").select("form", "raw", "class", "writings", (F.col("all") - F.col("own")).alias("links"))
+    return rows.join(meant, ["form", "raw"]).select(F.col("_id").alias(id_col), "class", "writings", "links")

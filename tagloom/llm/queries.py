@@ -74,6 +74,10 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.same_looking_pairs(table(spark, sf_dir, "documents"))
 
 
+def p8_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.same_looking_classes(table(spark, sf_dir, "documents"))
+
+
 def p8_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lookalike.canonical_texts(docs, lookalike.count_spellings(docs))
@@ -83,7 +87,7 @@ QUERIES = {
     "p2_found": p2_found, "p2_error_rate": p2_error_rate, "p3_sample": p3_sample,
     "p4_found": p4_found, "p4_top": p4_top, "p5_found": p5_found, "p5_unmatched": p5_unmatched,
     "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks": p7_leaks, "p7_clean": p7_clean,
-    "p8_found": p8_found, "p8_canonical": p8_canonical,
+    "p8_found": p8_found, "p8_classes": p8_classes, "p8_canonical": p8_canonical,
 }
 
 _KEY = r"""nullif(regexp_replace(regexp_extract(id, '^[\s\x0b\x{85}\p{Z}]*[@>]*[\s\x0b\x{85}\p{Z}]*([^\s\x0b\x{85}\p{Z}]+)', 1), '/[12]\z', ''), '')"""

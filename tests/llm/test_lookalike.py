@@ -40,6 +40,51 @@ def test_trie_never_changes_the_result(text):
     assert unicodedata.is_normalized("NFC", once)
 
 
+MANY = lookalike.Canonicalizer({
+    "Москва": 50, "Mосква": 60, "оса": 7, "oca": 2, "sea": 9, "ѕеа": 3, "λόγος": 4, "blade": 9, "Вблизи": 1, "Ваня": 3, "տուս": 2, "voxel": 0,
+})
+
+
+def test_trie_decides_the_spelling():
+    # genuine words of other scripts stay what they are, however they were written
+    for word, written in (("Москва", "Mocквa"), ("Москва", "Mо\u200bскв\u0430"), ("λόγος", "λόγoς"), ("Ваня", "Bаня"), ("տուս", "տուu")):
+        assert MANY(word) == MANY(written) == word
+    assert PLAIN("Москва") == "Mocквa" and PLAIN("λόγος") == "λóγoς"
+    # several candidates in the state set: the most frequent spelling wins, for Latin letters too
+    assert MANY("oca") == MANY("оcа") == "оса" and MANY("an oca.") == "an оса." and MANY("ѕеа") == MANY("sеa") == "sea"
+    assert MANY("ocas") == "ocas" and MANY("Oca") == "Oca"
+    # no spelling reached: the table
+    assert MANY("Варна") == PLAIN("Варна") and MANY("о") == "o"
+
+
+def test_spellings_are_of_one_script():
+    good, bad = ("ab", "été", "Москва", "λόγος", "漢字", "ガラス"), ("a", "Mocквa", "blаde", "ｂｌ", "e\u0301t", "a\u200bb", "x²", "ab1", "µm", "ɡood", "Ⅰa", "a" * 41)
+    assert all(map(lookalike.is_spelling, good)) and not any(map(lookalike.is_spelling, bad))
+
+
+def test_words_end_where_their_look_alikes_do():
+    words = PLAIN.words
+    inside = lambda c: words.fullmatch("x" + c) is not None
+    assert not [hex(k) for k, v in lookalike.equivalence_table().items() if v and inside(chr(k)) != all(map(inside, v))]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="осаoca sеМMквλΔ∆бéе\u0301ｅ\u200b\xa0-1²,ﾊﾞバ゙\n", max_size=30), st.text(alphabet="осаoca М\u200b", max_size=6))
+def test_equal_for_the_trie_is_equal_for_the_table(text, more):
+    form = MANY(text + more)
+    assert lookalike.fold(form) == lookalike.fold(text + more)  # a form looks like its text
+    assert form == MANY(lookalike.fold(text + more)) == MANY(form)  # and depends on nothing but its looks
+
+
+def test_classes(spark):
+    rows = [(1, "blade"), (2, "blаde"), (3, "blade"), (4, "ｂlade"), (5, "rotor"), (6, "rotor"), (7, ""), (8, None), (None, "blade"), (3, "blade"), (9, "Blade")]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, links int, class int")
+    got = sorted(map(tuple, lookalike.same_looking_classes(df).collect()))
+    assert got == [(1, 1, 3, 2), (2, 1, 3, 3), (3, 1, 3, 2), (4, 1, 3, 3), (5, 5, 1, 0), (6, 5, 1, 0), (9, 9, 1, 0)]
+    assert sum(r[3] for r in got) == 2 * lookalike.same_looking_pairs(df).count()
+    assert lookalike.same_looking_classes(df.limit(0)).count() == 0
+
+
 def test_pairs_equal_brute_force(spark):
     rng = random.Random(5)
     swaps = {"a": "аａ", "e": "еｅ", " ": "\xa0 ", "o": "оο", "-": "‑"}
