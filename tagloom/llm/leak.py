@@ -1,17 +1,23 @@
 """Evaluation texts leaking into training text: suffix arrays of the training words (problem 7).
 
-The words of the held-out items (a table of bounded size) are numbered; all other words are 0. A
-task reads its documents into one array of word numbers per shard, with a 0 after each document,
-and sorts the suffixes that start with at least ``MIN_WORDS`` numbered words; no other suffix can
-hold a match. The sort doubles the compared length until it covers ``MIN_WORDS``. Every suffix of
-every item is looked up in the shard by binary search, each hit is extended to its longest
-verbatim match, and (document, item, words, places) comes out. A document is whole in its shard,
-so shards need no exchange; only the hits are shuffled.
+The words of the held-out items are numbered; all other words are 0. A task reads its documents into
+one array of word numbers per shard, with a 0 after each document, and sorts the suffixes that start
+with at least ``MIN_WORDS`` numbered words; no other suffix can hold a match. Ranks are doubled until
+they cover the longest item, so suffixes are in full order as far as any match can reach. Every
+suffix of every item is looked up in the shard by binary search; the suffixes that share its first
+``MIN_WORDS`` words are its neighbours in the array, and how far they agree falls off from its place
+by the common prefixes of neighbours. So each training suffix learns its longest match with an item
+from the nearest item suffixes before and behind it, and no pair of an item suffix and a training
+suffix is ever formed: the work is a line for each item and training suffix that match, the memory
+that of one item at a time. Matches that overlap in a document make one passage.
+
+A document is whole in its shard, so shards need no exchange; only the passages are shuffled.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,8 +28,9 @@ from pyspark.sql import types as T
 from tagloom.llm.lookalike import Canonicalizer
 
 MIN_WORDS = 13
-SHARD_WORDS = 4_000_000
-MAX_ITEM_WORDS = 2_000_000
+SHARD_WORDS = 2_000_000
+#: characters of held-out items that a task holds at a time; more are done in blocks, each over all documents
+BLOCK_CHARS = 16_000_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -33,20 +40,21 @@ def text_words(text: str, canonical: Canonicalizer) -> list[str]:
 
 
 class Items:
-    """The numbered words of the items and where their suffixes start."""
+    """The numbered words of the items and where their suffixes start, in the suffixes' order."""
 
     def __init__(self, rows: list[tuple[int, str]], min_words: int = MIN_WORDS):
         canonical = Canonicalizer()
         self.min_words, self.number = min_words, {}
-        words, owner, place = [], [], []
+        words, owner, place, self.longest = [], [], [], 0
         for item, text in rows:
             own = [self.number.setdefault(w, len(self.number) + 1) for w in text_words(text, canonical)]
             words += [*own, 0]
             owner += [item] * (len(own) + 1)
             place += [*range(len(own)), -1]
+            self.longest = max(self.longest, len(own))
         self.words, self.owner, self.place = np.array(words, np.int32), np.array(owner, np.int64), np.array(place, np.int32)
-        self.starts = np.flatnonzero(known_run(self.words) >= min_words)
-        if len(self.starts):  # the same first words need one search; hits spread to all of them
+        self.starts = SuffixArray(self.words, min_words, self.longest).starts
+        if len(self.starts):  # the same first words need one search
             heads = self.words[self.starts[:, None] + np.arange(min_words)]
             self.heads, self.of_head = np.unique(heads, axis=0, return_inverse=True)
             self.of_head = self.of_head.reshape(-1)
@@ -61,25 +69,52 @@ def known_run(words: np.ndarray) -> np.ndarray:
     return stops[np.searchsorted(stops, np.arange(n))] - np.arange(n)
 
 
-def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of the suffixes with ``depth`` known words, sorted by at least so many words."""
-    starts = np.flatnonzero(known_run(words) >= depth)
-    if not len(starts):
-        return starts
-    inside = np.zeros(len(words) + 1, dtype=bool)
-    for shift in range(depth):
-        inside[starts + shift] = True
-    places = np.flatnonzero(inside)
-    rank = np.zeros(len(words) + 2 * depth + 1, dtype=np.int64)
-    rank[places] = words[places]
-    width = 1
-    while width < depth:
-        key = rank[places] * np.int64(max(rank.max() + 1, 1)) + rank[places + min(width, depth)]
-        _, dense = np.unique(key, return_inverse=True)
-        rank[:] = 0
-        rank[places] = dense + 1
-        width *= 2
-    return starts[np.argsort(rank[starts], kind="stable")]
+class SuffixArray:
+    """Suffixes with ``depth`` known words in the order of their first ``longest`` words, and how far neighbours agree."""
+
+    def __init__(self, words: np.ndarray, depth: int, longest: int):
+        starts = np.flatnonzero(known_run(words) >= depth)
+        inside = np.zeros(len(words) + 1, dtype=bool)
+        for shift in range(depth):
+            inside[starts + shift] = True
+        self.places = np.flatnonzero(inside)  # with each start all of its known words are inside
+        self.at = np.full(len(words) + 1, -1, np.int32)
+        self.at[self.places] = np.arange(len(self.places), dtype=np.int32)
+        n = len(self.places)
+        self.run = known_run(words)
+        self.ranks = [np.unique(words[self.places], return_inverse=True)[1].astype(np.int32) + 1]
+        width = 1
+        while n and width < max(longest, depth) and (last := self.ranks[-1]).max() < n:
+            key = last.astype(np.int64) * (int(last.max()) + 1)
+            key += self._rank_at(last, self.places + width)
+            order = np.argsort(key, kind="stable")
+            step = np.ones(n, dtype=np.int32)
+            step[1:] = key[order[1:]] != key[order[:-1]]
+            rank = np.empty(n, dtype=np.int32)
+            rank[order] = np.cumsum(step, dtype=np.int32)
+            self.ranks.append(rank)
+            width *= 2
+        self.starts = starts[np.argsort(self.ranks[-1][self.at[starts]], kind="stable")]
+
+    def _rank_at(self, rank: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Ranks of the suffixes at some places; 0 where no known word is."""
+        at = self.at[np.minimum(places, len(self.at) - 1)]
+        return np.where(at >= 0, rank[np.maximum(at, 0)], 0)
+
+    def agreement(self) -> np.ndarray:
+        """Common known words of each suffix with the one before it, by the ranks from wide to narrow."""
+        out = np.zeros(len(self.starts), np.int64)
+        if len(out) < 2:
+            return out
+        a, b, common = self.starts[:-1].copy(), self.starts[1:].copy(), out[1:]
+        for k in range(len(self.ranks) - 1, -1, -1):
+            x = self._rank_at(self.ranks[k], a)
+            step = ((x == self._rank_at(self.ranks[k], b)) & (x > 0)).astype(np.int64) << k
+            common += step
+            a += step
+            b += step
+        out[1:] = np.minimum(common, np.minimum(self.run[self.starts[:-1]], self.run[self.starts[1:]]))
+        return out
 
 
 def search(words: np.ndarray, suffixes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,50 +141,128 @@ def search(words: np.ndarray, suffixes: np.ndarray, heads: np.ndarray) -> tuple[
     return bound(False), bound(True)
 
 
+def _insertion(words: np.ndarray, suffixes: np.ndarray, items: Items, starts: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Where item suffixes would stand among the training suffixes of their range: before equal ones."""
+    low, high = low.copy(), high.copy()
+    while len(active := np.flatnonzero(low < high)):
+        middle = (low[active] + high[active]) // 2
+        a, b = suffixes[middle], starts[active]
+        n = _common(words, a, items, b)
+        less = words[a + n] < items.words[b + n]
+        low[active] = np.where(less, middle + 1, low[active])
+        high[active] = np.where(less, high[active], middle)
+    return low
+
+
+def _common(words: np.ndarray, a: np.ndarray, items: Items, b: np.ndarray) -> np.ndarray:
+    """Common words of training suffixes and item suffixes that share their first ``min_words``; both end with a 0."""
+    n = np.full(len(a), items.min_words, np.int64)
+    live = np.arange(len(a))
+    while len(live):
+        x = words[a[live] + n[live]]
+        live = live[(x == items.words[b[live] + n[live]]) & (x != 0)]
+        n[live] += 1
+    return n
+
+
+COLUMNS = ["item", "place", "end", "n_words", "longest_at", "item_start"]
+
+
+def _passages(matches: np.ndarray, width: int) -> np.ndarray:
+    """Rows of ``COLUMNS``: those of an item that overlap become one, which keeps the longest match (the first of equals)."""
+    matches = matches[np.lexsort((matches[:, 1], matches[:, 0]))]
+    shift = matches[:, 0] * width  # items one behind the other, so that one running maximum serves all
+    ends = np.maximum.accumulate(shift + matches[:, 2])
+    new = np.append(True, (shift + matches[:, 1])[1:] >= ends[:-1])
+    first, passage = np.flatnonzero(new), np.cumsum(new) - 1
+    out = matches[np.lexsort((matches[:, 5], matches[:, 4], -matches[:, 3], passage))[first]]
+    out[:, 1] = matches[first, 1]
+    out[:, 2] = (ends - shift)[np.append(first[1:], len(matches)) - 1]
+    return out
+
+
 def shard_matches(words: np.ndarray, items: Items) -> pd.DataFrame:
-    """(place, item, item_start, n_words) of the longest verbatim matches in one shard."""
-    suffixes = suffix_array(words, items.min_words)
+    """(item, place, end, n_words, longest_at, item_start) of the passages of each item in one shard.
+
+    ``words`` ends with a 0. A passage is a run of words covered by matches that overlap; its
+    longest match has ``n_words`` words, from ``longest_at`` here and ``item_start`` there.
+    """
+    array = SuffixArray(words, items.min_words, items.longest)
+    suffixes = array.starts
     low, high = search(words, suffixes, items.heads)
-    hits = high - low
-    # pairs (item suffix, training suffix)
-    per_start = hits[items.of_head]
-    start = np.repeat(items.starts, per_start)
-    offset = np.arange(len(start)) - np.repeat(np.cumsum(per_start) - per_start, per_start)
-    place = suffixes[np.repeat(low[items.of_head], per_start) + offset] if len(start) else np.zeros(0, np.int64)
-    # a match that goes on to the left is part of a longer one
-    maximal = (start == 0) | (place == 0) | (items.words[start - 1] != words[place - 1]) | (items.words[start - 1] == 0)
-    start, place = start[maximal], place[maximal]
-    padded, other = np.append(words, [0]), np.append(items.words, [-1])
-    length = np.full(len(start), items.min_words, np.int64)
-    live = np.arange(len(start))
-    while len(live):
-        a = padded[np.minimum(place[live] + length[live], len(padded) - 1)]
-        b = other[np.minimum(start[live] + length[live], len(other) - 1)]
-        live = live[(a == b) & (a != 0)]
-        length[live] += 1
-    return pd.DataFrame({"place": place, "item": items.owner[start], "item_start": items.place[start], "n_words": length})
+    found = np.flatnonzero((high - low)[items.of_head] > 0)  # item suffixes, in their order
+    if not len(found):
+        return pd.DataFrame(np.zeros((0, len(COLUMNS)), np.int64), columns=COLUMNS)
+    starts, head = items.starts[found], items.of_head[found]
+    low, high = low[head], high[head]
+    at = _insertion(words, suffixes, items, starts, low, high)
+    behind, before = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    for some, next_, agrees in ((at < high, 0, behind), (at > low, 1, before)):
+        agrees[some] = _common(words, suffixes[at[some] - next_], items, starts[some])
+    names, item = np.unique(items.owner[starts], return_inverse=True)
+    by_item = np.lexsort((np.arange(len(item)), item))
+    groups = np.split(by_item, np.flatnonzero((np.diff(item[by_item]) != 0) | (np.diff(head[by_item]) != 0)) + 1)
+    # the usual case at once: one suffix of the item meets one of the shard
+    lone = np.array([g[0] for g in groups if len(g) == 1 and high[g[0]] - low[g[0]] == 1], dtype=np.int64)
+    done = [np.zeros((0, len(COLUMNS)), np.int64)]
+    if len(lone):
+        place, n = suffixes[low[lone]], np.maximum(behind, before)[lone]
+        done.append(_passages(np.stack([item[lone], place, place + n, n, place, items.place[starts[lone]]], axis=1), len(words) + 1))
+    groups = [g for g in groups if len(g) > 1 or high[g[0]] - low[g[0]] > 1]
+    lcp = array.agreement() if groups else None
+    for g in groups:
+        a, b = low[g[0]], high[g[0]]
+        longest, source = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
+        for k, i in enumerate(g):  # on to the place of the next item suffix, and back to that of the one before
+            on, back = at[g[k + 1]] if k + 1 < len(g) else b, at[g[k - 1]] if k else a
+            for reach, start in ((_reach(lcp, at[i], on, behind[i]), at[i] - a), (_reach_back(lcp, at[i], back, before[i]), back - a)):
+                span = slice(start, start + len(reach))
+                better = reach > longest[span]
+                longest[span][better] = reach[better]
+                source[span][better] = items.place[starts[i]]
+        place = suffixes[a:b]
+        done.append(_passages(np.stack([np.full(b - a, item[g[0]]), place, place + longest, longest, place, source], axis=1), len(words) + 1))
+    out = _passages(np.concatenate(done), len(words) + 1)
+    out[:, 0] = names[out[:, 0]]
+    return pd.DataFrame(out, columns=COLUMNS)
+
+
+def _reach(lcp: np.ndarray, at: int, end: int, first: int) -> np.ndarray:
+    """Common words of an item suffix with the training suffixes from its place on, which agree ``first`` there."""
+    return np.minimum.accumulate(np.append(first, lcp[at + 1 : end])) if end > at else lcp[:0]
+
+
+def _reach_back(lcp: np.ndarray, at: int, end: int, first: int) -> np.ndarray:
+    """The same for the training suffixes before its place, in their order."""
+    return np.minimum.accumulate(np.append(first, lcp[end + 1 : at][::-1]))[::-1] if at > end else lcp[:0]
 
 
 def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
-    min_words: int = MIN_WORDS, shard_words: int = SHARD_WORDS,
+    min_words: int = MIN_WORDS, shard_words: int = SHARD_WORDS, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """(id, item, n_words, doc_word, item_word): the longest match of each document and item.
+    """(id, item, doc_word, end_word, n_words, longest_at, item_word): every passage of an item in a document.
 
-    ``doc_word`` and ``item_word`` count words from 0. Null and empty texts match nothing. Rows
-    with the same id count as one document with several texts; items with the same id as one item.
+    A passage runs from ``doc_word`` up to ``end_word``, counted from 0, and is covered by matches that
+    overlap; the longest of them has ``n_words`` words, from ``longest_at`` of the document and
+    ``item_word`` of the item (the first of equals). Null and empty texts match nothing. Rows with the
+    same id count as one document with several texts, equal rows once; items with the same id as one item.
+    Items with more than ``block_chars`` characters together are dealt into blocks, each of which is
+    searched for in all documents.
     """
     rows = items.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and length(t) > 0").distinct()
-    size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    if size > 12 * MAX_ITEM_WORDS:
-        raise ValueError(f"the held-out items have more than {12 * MAX_ITEM_WORDS} characters")
-    found = Items(sorted((r["i"], r["t"]) for r in rows.collect()), min_words)
-    shared = docs.sparkSession.sparkContext.broadcast(found)
+    blocks = -(-(rows.agg(F.sum(F.length("t"))).first()[0] or 0) // block_chars) or 1
+    block = F.pmod(F.xxhash64("i"), F.lit(blocks))
+    parts = [_leaks_of(docs, rows.where(block == k) if blocks > 1 else rows, id_col, text_col, min_words, shard_words) for k in range(blocks)]
+    return reduce(DataFrame.unionByName, parts).distinct().withColumnsRenamed({"_id": id_col, "_item": item_col})
+
+
+def _leaks_of(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, min_words: int, shard_words: int) -> DataFrame:
+    """The passages of one block of items, which the driver holds and broadcasts."""
+    shared = docs.sparkSession.sparkContext.broadcast(Items(sorted((r["i"], r["t"]) for r in rows.collect()), min_words))
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.length("_text") > 0)
-    schema = T.StructType(
-        [source.schema["_id"], T.StructField("_item", T.LongType()), T.StructField("n_words", T.LongType()),
-         T.StructField("doc_word", T.LongType()), T.StructField("item_word", T.LongType())]
-    )
+    numbers = ("_item", "doc_word", "end_word", "n_words", "longest_at", "item_word")
+    schema = T.StructType([source.schema["_id"], *(T.StructField(c, T.LongType()) for c in numbers)])
 
     def run(frames):
         known, canonical = shared.value, Canonicalizer()
@@ -160,14 +273,10 @@ def find_leaks(
             starts = np.cumsum([0] + [len(p) for p in parts])
             hits = shard_matches(np.concatenate(parts), known)
             doc = np.searchsorted(starts, hits["place"].to_numpy(), side="right") - 1
-            out = pd.DataFrame(
-                {"_id": pd.Series(ids, dtype=object).iloc[doc].to_numpy(), "_item": hits["item"].to_numpy(),
-                 "n_words": hits["n_words"].to_numpy(), "doc_word": hits["place"].to_numpy() - starts[doc],
-                 "item_word": hits["item_start"].to_numpy(dtype=np.int64)}
-            )
-            out["_doc"] = doc
-            out = out.sort_values("n_words", ascending=False, kind="stable").drop_duplicates(["_doc", "_item"])
-            return out.drop(columns="_doc")
+            out = {"_id": pd.Series(ids, dtype=object).iloc[doc].to_numpy(), "_item": hits["item"].to_numpy()}
+            out |= {c: hits[h].to_numpy() - starts[doc] for c, h in (("doc_word", "place"), ("end_word", "end"))}
+            out |= {"n_words": hits["n_words"].to_numpy(), "longest_at": hits["longest_at"].to_numpy() - starts[doc], "item_word": hits["item_start"].to_numpy()}
+            return pd.DataFrame(out)
 
         for pdf in frames:
             for key, text in zip(pdf["_id"], pdf["_text"]):
@@ -181,12 +290,7 @@ def find_leaks(
         if parts:
             yield shard()
 
-    hits = source.mapInPandas(run, schema)
-    best = hits.groupBy("_id", "_item").agg(F.max(F.struct("n_words", -F.col("doc_word"), -F.col("item_word"))).alias("m"))
-    return best.select(
-        F.col("_id").alias(id_col), F.col("_item").alias(item_col), F.col("m.n_words").alias("n_words"),
-        (-F.col("m.col2")).alias("doc_word"), (-F.col("m.col3")).alias("item_word"),
-    )
+    return source.mapInPandas(run, schema)
 
 
 def without_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -58,7 +58,7 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+    return p7_leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
 
 
 def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
