@@ -15,22 +15,22 @@ IUPAC = {
 # Id, name, recognition site as N-count or IUPAC letters, unit length of a concatenated tag,
 # inclusive 0-based windows of the five tags in a merged read.
 _ENZYMES = (
-    (1, "CspCI", "N11 CAA N5 GTGG N10", 38, "0-55 37-92 75-130 113-168 151-215"),
-    (2, "AloI", "N7 GAAC N6 TCC N7", 39, "0-49 38-87 77-126 116-165 155-220"),
-    (3, "BsaXI", "N9 AC N5 CTCC N7", 33, "0-49 32-81 65-114 98-147 131-190"),
-    (4, "BaeI", "N10 AC N4 GTAYC N7", 38, "0-50 37-87 75-125 113-163 151-215"),
-    (5, "BcgI", "N10 CGA N6 TGC N10", 36, "0-54 35-89 71-125 107-161 143-205"),
-    (6, "CjeI", "N8 CCA N6 GT N9", 40, "0-50 39-89 79-129 119-169 159-225"),
-    (7, "PpiI", "N7 GAAC N5 CTC N8", 37, "0-49 36-85 73-122 110-159 147-210"),
-    (8, "PsrI", "N7 GAAC N6 TAC N7", 37, "0-49 36-85 73-122 110-159 147-210"),
-    (9, "BplI", "N8 GAG N5 CTC N8", 37, "0-49 36-85 73-122 110-159 147-210"),
-    (10, "FalI", "N8 AAG N5 CTT N8", 37, "0-49 36-85 73-122 110-159 147-210"),
-    (11, "Bsp24I", "N8 GAC N6 TGG N7", 37, "0-49 36-85 73-122 110-159 147-210"),
-    (12, "HaeIV", "N7 GAY N5 RTC N9", 38, "0-49 37-86 75-124 113-162 151-215"),
-    (13, "CjePI", "N7 CCA N7 TC N8", 39, "0-49 38-87 77-126 116-165 155-220"),
-    (14, "Hin4I", "N8 GAY N5 VTC N8", 37, "0-49 36-85 73-122 110-159 147-210"),
-    (15, "AlfI", "N10 GCA N6 TGC N10", 36, "0-54 35-89 71-125 107-161 143-205"),
-    (16, "BslFI", "N6 GGGAC N14", 34, "0-47 33-80 67-114 101-148 135-195"),
+    (1, "CspCI", "N11 CAA N5 GTGG N10", 38, ((0, 55), (37, 92), (75, 130), (113, 168), (151, 215))),
+    (2, "AloI", "N7 GAAC N6 TCC N7", 39, ((0, 49), (38, 87), (77, 126), (116, 165), (155, 220))),
+    (3, "BsaXI", "N9 AC N5 CTCC N7", 33, ((0, 49), (32, 81), (65, 114), (98, 147), (131, 190))),
+    (4, "BaeI", "N10 AC N4 GTAYC N7", 38, ((0, 50), (37, 87), (75, 125), (113, 163), (151, 215))),
+    (5, "BcgI", "N10 CGA N6 TGC N10", 36, ((0, 54), (35, 89), (71, 125), (107, 161), (143, 205))),
+    (6, "CjeI", "N8 CCA N6 GT N9", 40, ((0, 50), (39, 89), (79, 129), (119, 169), (159, 225))),
+    (7, "PpiI", "N7 GAAC N5 CTC N8", 37, ((0, 49), (36, 85), (73, 122), (110, 159), (147, 210))),
+    (8, "PsrI", "N7 GAAC N6 TAC N7", 37, ((0, 49), (36, 85), (73, 122), (110, 159), (147, 210))),
+    (9, "BplI", "N8 GAG N5 CTC N8", 37, ((0, 49), (36, 85), (73, 122), (110, 159), (147, 210))),
+    (10, "FalI", "N8 AAG N5 CTT N8", 37, ((0, 49), (36, 85), (73, 122), (110, 159), (147, 210))),
+    (11, "Bsp24I", "N8 GAC N6 TGG N7", 37, ((0, 49), (36, 85), (73, 122), (110, 159), (147, 210))),
+    (12, "HaeIV", "N7 GAY N5 RTC N9", 38, ((0, 49), (37, 86), (75, 124), (113, 162), (151, 215))),
+    (13, "CjePI", "N7 CCA N7 TC N8", 39, ((0, 49), (38, 87), (77, 126), (116, 165), (155, 220))),
+    (14, "Hin4I", "N8 GAY N5 VTC N8", 37, ((0, 49), (36, 85), (73, 122), (110, 159), (147, 210))),
+    (15, "AlfI", "N10 GCA N6 TGC N10", 36, ((0, 54), (35, 89), (71, 125), (107, 161), (143, 205))),
+    (16, "BslFI", "N6 GGGAC N14", 34, ((0, 47), (33, 80), (67, 114), (101, 148), (135, 195))),
 )
 
 
@@ -90,7 +90,7 @@ def _expand(site: str) -> str:
 
 
 ENZYMES = tuple(
-    Enzyme(i, name, _expand(site), unit, tuple(tuple(map(int, w.split("-"))) for w in windows.split()))
+    Enzyme(i, name, _expand(site), unit, windows)
     for i, name, site, unit, windows in _ENZYMES
 )
 

@@ -1,8 +1,11 @@
 """Joins within a Hamming distance by shared segments (survey F15-F17).
 
 Two sequences of equal length with at most d differences agree on one of d + 1 segments. So both
-sides are exploded into (length, segment number, segment), joined on that, verified, and the best
-stratum is kept. Distinct sequences meet, not rows: copies are joined back by the caller.
+sides are exploded into (length, segment number, segment), joined on that and verified; a pair comes
+out of the first segment on which it agrees, so no pair is made twice. A segment that many references
+share (low complexity, repeats) would be a hot key with all its pairs in one task: there the rest of
+the sequence is cut into d + 1 segments again, one of which a pair must share as well. Distinct
+sequences meet, not rows: copies are joined back by the caller.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import seq as S
+from tagloom.session import checkpointed
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -33,25 +37,67 @@ def _code_distance(a: Column, b: Column) -> Column:
     return differing("x") + differing("y")
 
 
-def _segments(seq: Column, parts: int) -> Column:
-    size = F.ceil(F.length(seq) / parts).cast("int")
-    return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.struct(i.alias("no"), F.substr(seq, i * size + 1, size).alias("part")))
+def _size(text: Column, parts: int) -> Column:
+    return F.ceil(F.length(text) / parts).cast("int")
 
 
-def hamming_pairs(queries: DataFrame, references: DataFrame, most: int, both_strands: bool = False) -> DataFrame:
+def _segments(text: Column, parts: int) -> Column:
+    size = _size(text, parts)
+    return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.struct(i.alias("no"), F.substr(text, i * size + 1, size).alias("part")))
+
+
+def _first_shared(a: Column, b: Column, no: Column, parts: int) -> Column:
+    """Whether no segment before the given one is the same in two sequences of equal length."""
+    size, out = _size(a, parts), F.lit(True)
+    for j in range(parts - 1):
+        out = out & ((no <= j) | (F.substr(a, F.lit(j) * size + 1, size) != F.substr(b, F.lit(j) * size + 1, size)))
+    return out
+
+
+def _rest(text: Column, no: Column, parts: int) -> Column:
+    """A sequence without one of its segments."""
+    size = _size(text, parts)
+    return F.concat(F.substr(text, F.lit(1), no * size), F.substr(text, (no + 1) * size + 1))
+
+
+#: references that share a segment from which on it is split further
+HOT = 1000
+#: hot segments that may travel as a broadcast
+MANY_HOT = 100_000
+
+
+def hamming_pairs(queries: DataFrame, references: DataFrame, most: int, both_strands: bool = False, hot: int = HOT) -> DataFrame:
     """(query, reference, strand, distance) of the distinct sequences in columns ``query`` and ``reference``.
 
     Null sequences match nothing. With ``both_strands`` the reverse complement of the query is tried too.
     """
+    parts = most + 1
     q = queries.where(F.col("query").isNotNull()).select("query").distinct().select("query", F.col("query").alias("_text"), F.lit("+").alias("strand"))
     if both_strands:
         q = q.unionByName(q.select("query", S.reverse_complement(F.col("query")).alias("_text"), F.lit("-").alias("strand")))
     r = references.where(F.col("reference").isNotNull()).select("reference").distinct()
-    qs = q.select("query", "_text", "strand", _codes(F.col("_text")).alias("_a"), F.length("_text").alias("n"), F.explode(_segments(F.col("_text"), most + 1)).alias("s"))
-    rs = r.select("reference", _codes(F.col("reference")).alias("_b"), F.length("reference").alias("n"), F.explode(_segments(F.col("reference"), most + 1)).alias("s"))
+
+    def exploded(df: DataFrame, text: str, code: str) -> DataFrame:
+        return df.select(*df.columns, _codes(F.col(text)).alias(code), F.length(text).alias("n"), F.explode(_segments(F.col(text), parts)).alias("s")).select("*", "s.*").drop("s")
+
+    qs, rs = exploded(q, "_text", "_a"), exploded(r, "reference", "_b")
+    on, once = ["n", "no", "part"], _first_shared(F.col("_text"), F.col("reference"), F.col("no"), parts)
+    if most:
+        crowded = checkpointed(rs.groupBy(*on).agg(F.count("*").alias("_refs")).where(F.col("_refs") > hot).select(*on, F.lit(True).alias("_hot")))
+        if n_hot := crowded.limit(MANY_HOT + 1).count():
+            crowded = F.broadcast(crowded) if n_hot <= MANY_HOT else crowded
+
+            def split(df: DataFrame, text: str) -> DataFrame:
+                none = F.array(F.struct(F.lit(-1).alias("no"), F.lit("").alias("part")))
+                inner = F.when(F.col("_hot"), _segments(_rest(F.col(text), F.col("no"), parts), parts)).otherwise(none)
+                return df.join(crowded, on, "left").withColumn("_s", F.explode(inner)).select("*", F.col("_s.no").alias("no2"), F.col("_s.part").alias("part2")).drop("_s", "_hot")
+
+            qs, rs, on = split(qs, "_text"), split(rs, "reference"), [*on, "no2", "part2"]
+            rests = [_rest(F.col(c), F.col("no"), parts) for c in ("_text", "reference")]
+            once = once & ((F.col("no2") < 0) | _first_shared(*rests, F.col("no2"), parts))
     distance = F.coalesce(_code_distance(F.col("_a"), F.col("_b")), hamming(F.col("_text"), F.col("reference")))
-    close = qs.join(rs, ["n", "s"]).withColumn("distance", distance).where(F.col("distance") <= most)
-    return close.groupBy("query", "reference", "strand").agg(F.min("distance").alias("distance"))
+    close = qs.join(rs, on).withColumn("distance", distance).where((F.col("distance") <= most) & once)
+    return close.select("query", "reference", "strand", "distance")
 
 
 def best_hits(queries: DataFrame, references: DataFrame, most: int, both_strands: bool = False) -> DataFrame:

@@ -8,9 +8,10 @@ turned round, so no contig is ever reversed.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.enzymes import Enzyme, Motif, motif_regex, reverse_complement
@@ -126,52 +127,39 @@ def cut_reads(contigs: DataFrame, keys: list[str], length: int, seq: str = "seq"
     return contigs.select(*keys, F.posexplode(parts).alias("part", "seq"))
 
 
-TILE = 2048
+HITS_A_BATCH = 50_000
 
 
-def tiles(contigs: DataFrame, keys: list[str], overlap: int, seq: str = "seq", tile: int = TILE) -> DataFrame:
-    """(keys, tile_start, tile): overlapping pieces of long contigs for positional scans.
+def positional_hits(contigs: DataFrame, keys: list[str], cores: dict[str, str], left: int = 0, right: int = 0, seq: str = "seq") -> DataFrame:
+    """(keys, start, strand, hit): overlapping hits of a core with flanks of fixed length, with their 0-based start.
 
-    A piece starts every ``tile`` letters and carries ``overlap`` more on its right, so a hit
-    belongs to the piece in whose first ``tile`` letters it starts. Python slices keep the cutting
-    linear in the contig's length.
+    The contig is scanned once for each core, from hit to hit; flanks are cut out where they lie on
+    the contig. Hits leave in batches, so what a task holds is one contig and one batch.
     """
-    schema = extended(contigs.select(*keys), "tile_start int, tile string")
-
-    def cut(frames):
-        for pdf in frames:
-            rows = [
-                (*key, start, text[start : start + tile + overlap])
-                for *key, text in pdf[[*keys, seq]].itertuples(index=False)
-                for start in range(0, len(text), tile)
-            ]
-            yield pd.DataFrame(rows, columns=[*keys, "tile_start", "tile"])
-
-    return contigs.select(*keys, seq).where(F.length(seq) > 0).mapInPandas(cut, schema)
-
-
-def positional_hits(contigs: DataFrame, keys: list[str], length: int, patterns: dict[str, str], seq: str = "seq", tile: int = TILE) -> DataFrame:
-    """(keys, start, strand, hit): overlapping hits of fixed length with their 0-based start."""
-    names, regexes = list(patterns), [re.compile(f"(?=({p}))") for p in patterns.values()]
+    scans = [(name, re.compile(f"(?=({core}))")) for name, core in cores.items()]
+    columns = [*keys, "start", "strand", "hit"]
     schema = extended(contigs.select(*keys), "start int, strand string, hit string")
 
-    def scan(frames):
+    def hits(frames):
         for pdf in frames:
-            rows = [
-                (*key, first + m.start(), name, m.group(1))
-                for *key, first, text in pdf.itertuples(index=False)
-                for name, regex in zip(names, regexes)
-                for m in regex.finditer(text)
-                if m.start() < tile
-            ]
-            yield pd.DataFrame(rows, columns=[*keys, "start", "strand", "hit"]).astype({"start": "int32"})
+            for *key, text in pdf.itertuples(index=False):
+                for name, scan in scans:
+                    for m in scan.finditer(text):
+                        first, end = m.start() - left, m.end(1) + right
+                        if first >= 0 and end <= len(text):
+                            yield (*key, first, name, text[first:end])
 
-    return tiles(contigs, keys, length - 1, seq, tile).mapInPandas(scan, schema)
+    def run(frames):
+        every = hits(frames)
+        while rows := list(islice(every, HITS_A_BATCH)):
+            yield pd.DataFrame(rows, columns=columns).astype({"start": "int32"})
+
+    return contigs.select(*keys, seq).where(F.length(seq) > 0).mapInPandas(run, schema)
 
 
 def dedup_digest(contigs: DataFrame, enzyme: Enzyme, keys: list[str], seq: str = "seq") -> DataFrame:
     """Overlapping hits of both patterns as written, one per (keys, start); later patterns win."""
-    hits = positional_hits(contigs, keys, enzyme.length, {str(i): p for i, p in enumerate(enzyme.patterns)}, seq)
+    hits = positional_hits(contigs, keys, {str(i): p for i, p in enumerate(enzyme.patterns)}, seq=seq)
     return hits.groupBy(*keys, "start").agg(F.max_by("hit", "strand").alias("tag")).withColumn(
         "end", (F.col("start") + enzyme.length).cast("int")
     )
@@ -180,18 +168,21 @@ def dedup_digest(contigs: DataFrame, enzyme: Enzyme, keys: list[str], seq: str =
 def plain_scan(contigs: DataFrame, enzyme: Enzyme, keys: list[str], seq: str = "seq") -> DataFrame:
     """Non-overlapping hits per pattern, one per end; the later pattern wins.
 
-    A hit that doesn't overlap the one before depends on the whole scan, which Spark's regex
-    functions do in one pass: the text before each hit is what splits it, so ends follow from
-    lengths.
+    Whether a hit overlaps the one before depends on the whole scan, which Spark's regex functions do
+    in one pass: the text before each hit is what splits the contig, so a running sum of lengths gives
+    the ends. Only lengths and tags are exploded, never the contig.
     """
+    text = F.upper(seq)
     scans = []
     for i, p in enumerate(enzyme.patterns):
-        between = F.transform(F.split(F.upper(seq), p, -1), lambda x: F.length(x))
-        tags = F.regexp_extract_all(F.upper(seq), F.lit(f"({p})"), F.lit(1))
-        scans.append(contigs.select(*keys, F.lit(i).alias("_pattern"), between.alias("_gaps"), F.posexplode(tags).alias("_no", "tag")))
+        tags = F.regexp_extract_all(text, F.lit(f"({p})"), F.lit(1))
+        gaps = F.slice(F.transform(F.split(text, p, -1), lambda x: F.length(x)), F.lit(1), F.size(tags))
+        hits = F.posexplode(F.arrays_zip(gaps.alias("gap"), tags.alias("tag"))).alias("_no", "_hit")
+        scans.append(contigs.withColumn("_contig", F.monotonically_increasing_id()).select(*keys, "_contig", F.lit(i).alias("_pattern"), hits))
     rows = scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
-    end = F.aggregate(F.slice("_gaps", 1, F.col("_no") + 1), F.lit(0), lambda a, x: a + x) + (F.col("_no") + 1) * enzyme.length
-    return rows.withColumn("end", end.cast("int")).groupBy(*keys, "end").agg(F.max_by("tag", "_pattern").alias("tag"))
+    end = F.sum(F.col("_hit.gap") + enzyme.length).over(Window.partitionBy(*keys, "_contig", "_pattern").orderBy("_no"))
+    ends = rows.select(*keys, "_pattern", end.cast("int").alias("end"), F.col("_hit.tag").alias("tag"))
+    return ends.groupBy(*keys, "end").agg(F.max_by("tag", "_pattern").alias("tag"))
 
 
 def motif_sites(contigs: DataFrame, motif: Motif, keys: list[str], seq: str = "seq") -> DataFrame:
@@ -200,15 +191,11 @@ def motif_sites(contigs: DataFrame, motif: Motif, keys: list[str], seq: str = "s
     ``start`` is the window's 0-based start. Where both orientations match at one place, the one
     of the smaller sequence is kept.
     """
-    width, mirrored = motif.length, reverse_complement(motif.motif)
-
-    def window(letters: str) -> str:
-        return f".{{{motif.left}}}{motif_regex(letters)}.{{{motif.right}}}"
-
-    patterns = {"+": window(motif.motif)}
+    mirrored = reverse_complement(motif.motif)
+    cores = {"+": motif_regex(motif.motif)}
     if motif.both and mirrored != motif.motif:
-        patterns["-"] = window(mirrored)
-    hits = positional_hits(contigs.withColumn(seq, F.upper(seq)), keys, width, patterns, seq)
+        cores["-"] = motif_regex(mirrored)
+    hits = positional_hits(contigs.withColumn(seq, F.upper(seq)), keys, cores, motif.left, motif.right, seq)
     oriented = hits.withColumn("sequence", F.when(F.col("strand") == "-", S.reverse_complement(F.col("hit"))).otherwise(F.col("hit")))
     return oriented.groupBy(*keys, "start").agg(F.min(F.struct("sequence", "strand")).alias("m")).select(
         *keys, "start", "m.strand", "m.sequence"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import seq as S
 from tagloom.operators.approxjoin import best_hits
 from tagloom.operators.numbering import numbered
+from tagloom.session import with_totals
 
 
 def copy_numbers(sites: DataFrame) -> DataFrame:
@@ -29,12 +30,30 @@ def site_totals(sites_with_copies: DataFrame) -> DataFrame:
 
 
 def site_counts(reads: DataFrame, sites: DataFrame, most: int = 2, sample: str = "sample") -> DataFrame:
-    """(sample, sequence, n): reads of either strand on unique sites within ``most`` differences, best stratum only."""
+    """(sample, sequence, n): reads of either strand on unique sites within ``most`` differences, best stratum only."""
     per_seq = reads.where("sequence is not null").groupBy(sample, F.col("sequence").alias("query")).agg(F.count("*").alias("n"))
     hits = best_hits(per_seq.select("query"), sites.select(F.col("sequence").alias("reference")), most, both_strands=True)
     return per_seq.join(hits, "query").groupBy(sample, F.col("reference").alias("sequence")).agg(F.sum("n").alias("n"))
 
 
+def mapping_totals(reads: DataFrame, counts: DataFrame, least: int = 3, sample: str = "sample") -> DataFrame:
+    """(sample, reads, mapped, detected, qualified): reads, reads on a site, sites with a read and sites with ``least`` reads."""
+    total = reads.groupBy(sample).agg(F.count("*").alias("reads"))
+    found = counts.groupBy(sample).agg(F.sum("n").alias("mapped"), F.count_if(F.col("n") > 0).alias("detected"), F.count_if(F.col("n") >= least).alias("qualified"))
+    return total.join(found, sample, "left").fillna(0, ["mapped", "detected", "qualified"])
+
+
+def require_sites(counts: DataFrame, sites: DataFrame, site: str = "site_id") -> DataFrame:
+    """counts with the columns of their site; running it fails where a counted site is not on the list.
+
+    A site that is listed twice fails too: each count keeps one row.
+    """
+    once = sites.groupBy(site).agg(*[F.first(c).alias(c) for c in sites.columns if c != site], F.count("*").alias("_listed"))
+    joined = counts.join(once, site, "left")
+    fault = F.concat(F.when(F.col("_listed").isNull(), "no such site: ").otherwise("site listed twice: "), F.coalesce(F.col(site).cast("string"), F.lit("null")))
+    return joined.where(F.when(F.col("_listed") == 1, F.lit(True)).otherwise(F.raise_error(fault))).drop("_listed")
+
+
 def depth_max(counts: DataFrame, share: float = 0.02, how: str = "mean", sample: str = "sample") -> DataFrame:
     """Mean or median of the top ceil(sites * share) counts of each sample, one at least.
 
@@ -54,8 +73,7 @@ def depth_max(counts: DataFrame, share: float = 0.02, how: str = "mean", sample:
 
 def metrics(counts: DataFrame, least: int = 3, share: float = 0.02, how: str = "mean", sample: str = "sample") -> DataFrame:
     """Counts with RPM (per million of the sample's counts) and M-index; null below ``least``."""
-    total = F.sum("n").over(Window.partitionBy(sample))
-    df = counts.withColumn("_total", total).join(depth_max(counts, share, how, sample), sample)
+    df = with_totals(counts, [sample], _total=F.sum("n")).join(depth_max(counts, share, how, sample), sample)
     enough = F.col("n") >= least
     return df.withColumns(
         {

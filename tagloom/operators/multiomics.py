@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import seq as S
+from tagloom.session import with_totals
 
 STATUSES = ("both", "DNA_only", "RNA_only", "missing")
 
 
-def absolute(abundance: DataFrame, meta: DataFrame, host: str, sample: str = "sample", taxon: str = "taxon", value: str = "abundance") -> DataFrame:
+def absolute(abundance: DataFrame, meta: DataFrame, host: str, sample: str = "sample", taxon: str = "taxon", value: str = "abundance", strict: bool = True) -> DataFrame:
     """concentration = ch * share / host share; library cells = concentration * ve * vl / vd.
 
-    Samples without metadata or without a positive host share have no result. The host share comes
-    from a window over the sample, so the matrix is scanned once.
+    Running it fails for a sample without metadata or with a host share that is missing or not
+    positive; with ``strict`` off such samples have no result.
     """
-    h = F.sum(F.when(F.col(taxon) == host, F.col(value))).over(Window.partitionBy(sample))
-    rows = abundance.withColumn("_host", h).where("_host > 0").join(meta, sample)
+    rows = with_totals(abundance, [sample], _host=F.sum(F.when(F.col(taxon) == host, F.col(value)))).join(meta.withColumn("_known", F.lit(True)), sample, "left")
+    fault = F.when(F.col("_known").isNull(), "no metadata for ").when(~F.coalesce(F.col("_host") > 0, F.lit(False)), "no host share in ")
+    ok = fault.isNull()
+    rows = rows.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(fault, F.col(sample))))) if strict else rows.where(ok)
     concentration = F.col("ch") * F.col(value) / F.col("_host")
     return rows.select(
         sample, taxon, value, concentration.alias("concentration"), (concentration * F.col("ve") * F.col("vl") / F.col("vd")).alias("library_cells")

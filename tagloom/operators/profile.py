@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tagloom.functions import seq as S
 from tagloom.operators.refdb import unique_stats, unique_tags
+from tagloom.session import with_totals
 
 
 def tag_counts(tags: DataFrame, sample: str = "sample") -> DataFrame:
@@ -65,8 +65,7 @@ def predict(prof: DataFrame, threshold: float) -> DataFrame:
 
 def features(prof: DataFrame, sample: str = "sample", least: float = 5.0) -> DataFrame:
     """Logarithms of coverage, G-score, depth and share of reads, where the G-score exceeds ``least``."""
-    total = F.sum("seq_reads").over(Window.partitionBy(sample))
-    return prof.withColumn("_total", total).where(F.col("g_score") > least).select(
+    return with_totals(prof, [sample], _total=F.sum("seq_reads")).where(F.col("g_score") > least).select(
         sample, "taxon", F.ln("percent").alias("ln_coverage"), F.ln("g_score").alias("ln_g"), F.ln("depth").alias("ln_depth"),
         F.ln(F.col("depth") * F.col("theoretical") / F.col("_total")).alias("ln_share"),
     )
@@ -84,8 +83,7 @@ def sample_database(master: DataFrame, predicted: DataFrame, sample: str = "samp
 
 def share_of_sample(df: DataFrame, value: str, sample: str = "sample", out: str = "share") -> DataFrame:
     """Value over the sample's total; null where the total is 0."""
-    total = F.sum(value).over(Window.partitionBy(sample))
-    return df.withColumn("_total", total).withColumn(out, F.when(F.col("_total") > 0, F.col(value) / F.col("_total"))).drop("_total")
+    return with_totals(df, [sample], _total=F.sum(value)).withColumn(out, F.when(F.col("_total") > 0, F.col(value) / F.col("_total"))).drop("_total")
 
 
 def abundance(quantified: DataFrame, sample: str = "sample") -> DataFrame:
@@ -100,16 +98,15 @@ def clip_coverage(df: DataFrame, value: str = "percent") -> DataFrame:
 
 def rescale_without_host(df: DataFrame, host: str, value: str = "abundance", sample: str = "sample", taxon: str = "taxon") -> DataFrame:
     """Rows but the host's, times 1 / (1 - host share); 0 where the host is everything."""
-    h = F.coalesce(F.max(F.when(F.col(taxon) == host, F.col(value))).over(Window.partitionBy(sample)), F.lit(0.0))
+    h = F.coalesce(F.max(F.when(F.col(taxon) == host, F.col(value))), F.lit(0.0))
     factor = F.when(F.col("_h") < 1, 1 / (1 - F.col("_h"))).otherwise(F.lit(0.0))
-    return df.withColumn("_h", h).where(F.col(taxon) != host).withColumn(value, F.col(value) * factor).drop("_h")
+    return with_totals(df, [sample], _h=h).where(F.col(taxon) != host).withColumn(value, F.col(value) * factor).drop("_h")
 
 
 def split_groups(df: DataFrame, is_first, value: str, sample: str = "sample", names: tuple[str, str] = ("micro", "macro")) -> DataFrame:
     """Rows by a predicate, each part brought to shares of its own total in the sample."""
     tagged = df.withColumn("part", F.when(is_first, names[0]).otherwise(names[1]))
-    total = F.sum(value).over(Window.partitionBy(sample, "part"))
-    return tagged.withColumn("_total", total).withColumn("share", F.when(F.col("_total") > 0, F.col(value) / F.col("_total"))).drop("_total")
+    return with_totals(tagged, [sample, "part"], _total=F.sum(value)).withColumn("share", F.when(F.col("_total") > 0, F.col(value) / F.col("_total"))).drop("_total")
 
 
 def wide(df: DataFrame, rows: str, columns: str, value: str, names: list[str]) -> DataFrame:

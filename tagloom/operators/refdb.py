@@ -60,10 +60,10 @@ def shard_summary(genomes: DataFrame, size: int = 30_000) -> DataFrame:
 
 
 def stats_mismatches(stats: DataFrame, unique: DataFrame, tolerance: float = 1e-4) -> DataFrame:
-    """genomes whose written count or mean differs from a recount, or that only one side has."""
-    recount = unique_stats(unique).select("genome_id", F.col("genome_tags").alias("_tags"), F.col("taxon_mean").alias("_mean"))
+    """genomes whose written count or mean differs from a recount, or that only one side has (``again``: the recount's id)."""
+    recount = unique_stats(unique).select(F.col("genome_id").alias("again"), F.col("genome_tags").alias("_tags"), F.col("taxon_mean").alias("_mean"))
     same = (F.col("genome_tags") == F.col("_tags")) & (F.abs(F.col("taxon_mean") - F.col("_mean")) <= tolerance)
-    return stats.join(recount, "genome_id", "full").where(~F.coalesce(same, F.lit(False)))
+    return stats.join(recount, F.col("genome_id") == F.col("again"), "full").where(~F.coalesce(same, F.lit(False)))
 
 
 def repeated(df: DataFrame, *keys: str) -> DataFrame:

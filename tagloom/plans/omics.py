@@ -14,7 +14,7 @@ from tagloom.operators import multiomics as O
 from tagloom.operators import reads as Q
 from tagloom.operators import refdb as R
 from tagloom.operators import snp as G
-from tagloom.plans.tags import SOURCES, _hits_sql, _seqs_sql, sample_names, sequences
+from tagloom.plans.tags import NAMED_SAMPLES, _hits_sql, _seqs_sql, sample_names, sequences
 from tagloom.session import checkpointed, table
 from tagloom.streaming.tags import windowed_yield as windowed
 
@@ -249,30 +249,36 @@ def absolute_counts(spark, sf_dir):
     return O.absolute(_line_abundance(spark, sf_dir), meta, "Brand#11")
 
 
-def _rna(spark, sf_dir, remainder: int):
-    df = table(spark, sf_dir, "rna_species_abundance").where(f"entry_id % 2 = {remainder}").withColumn("species", S.species_name(F.col("species")))
-    return df.where("species is not null and abundance is not null").groupBy(F.col("sample_id").alias("sample"), "species").agg(F.sum("abundance").alias("value"))
+def _two_sides(spark, sf_dir):
+    """(sample, species, value) of the abundances written with an underscore, as exports do, and of those typed otherwise."""
+    df = table(spark, sf_dir, "rna_species_abundance").withColumn("exported", F.contains("species", F.lit("_"))).withColumn("species", S.species_name(F.col("species")))
+    rows = df.where("species is not null and abundance is not null")
+    return [
+        rows.where(side).groupBy(F.col("sample_id").alias("sample"), "species").agg(F.sum("abundance").alias("value")) for side in ("exported", "not exported")
+    ]
 
 
 def rna_dna(spark, sf_dir):
-    return O.rna_dna(_rna(spark, sf_dir, 0), _rna(spark, sf_dir, 1))
+    return O.rna_dna(*_two_sides(spark, sf_dir))
 
 
 def rna_dna_threshold(spark, sf_dir):
-    return O.rna_dna(_rna(spark, sf_dir, 0), _rna(spark, sf_dir, 1), 0.001, 0.001).select("sample", "species", "ratio")
+    return O.rna_dna(*_two_sides(spark, sf_dir), 0.001, 0.001).select("sample", "species", "ratio")
 
 
 def status_counts(spark, sf_dir):
-    dna, rna = _rna(spark, sf_dir, 0), _rna(spark, sf_dir, 1)
+    dna, rna = _two_sides(spark, sf_dir)
     return O.status_counts(O.rna_dna(dna, rna), dna.select("species").union(rna.select("species")).distinct().count())
 
 
 def unmatched_species(spark, sf_dir):
-    return R.set_difference(_rna(spark, sf_dir, 0), _rna(spark, sf_dir, 1), "species")
+    return R.set_difference(*_two_sides(spark, sf_dir), "species")
 
 
 def unmatched_samples(spark, sf_dir):
-    return R.set_difference(_rna(spark, sf_dir, 0), _rna(spark, sf_dir, 1), "sample")
+    """Libraries that only the reads or only the manifest hold."""
+    libraries = _reads(spark, sf_dir).select("library_id").where("library_id is not null")
+    return R.set_difference(libraries, table(spark, sf_dir, "serial_manifest").select("library_id"), "library_id")
 
 
 def sample_totals(spark, sf_dir):
@@ -324,24 +330,25 @@ def repeated_species(spark, sf_dir):
     return R.repeated(R.valid_entries(_genomes(spark, sf_dir)), "species")
 
 
-def _halves(spark, sf_dir):
-    g = R.valid_entries(_genomes(spark, sf_dir))
-    return g.where("source_id like '%.1'"), g.where("source_id not like '%.1'")
-
-
 def harmonised(spark, sf_dir):
-    new, old = _halves(spark, sf_dir)
+    """Every genome with the lineage of the first one, by source_id, of its species."""
+    new = R.valid_entries(_genomes(spark, sf_dir))
+    old = new.groupBy("species").agg(F.min_by(F.struct(*R.LINEAGE[:-1]), "source_id").alias("first")).select("species", "first.*")
     return R.harmonise(new, old).select("source_id", "species", *R.LINEAGE[:-1], "changed")
 
 
+def _typed_species(spark, sf_dir):
+    return table(spark, sf_dir, "rna_species_abundance").select(S.species_name(F.col("species")).alias("species")).where("species is not null")
+
+
 def shared_species(spark, sf_dir):
-    return R.shared_keys(*_halves(spark, sf_dir), "species")
+    """Species of the list that an abundance row writes exactly so."""
+    return R.shared_keys(R.valid_entries(_genomes(spark, sf_dir)).select(F.trim("species").alias("species")), _typed_species(spark, sf_dir), "species")
 
 
 def listed_species(spark, sf_dir):
-    """Species of the list that an abundance row writes exactly so, and the other way round."""
-    typed = table(spark, sf_dir, "rna_species_abundance").select(S.species_name(F.col("species")).alias("species")).where("species is not null")
-    return R.set_difference(R.valid_entries(_genomes(spark, sf_dir)).select(F.trim("species").alias("species")), typed, "species")
+    """Species of the list that no abundance row writes exactly so, and the other way round."""
+    return R.set_difference(R.valid_entries(_genomes(spark, sf_dir)).select(F.trim("species").alias("species")), _typed_species(spark, sf_dir), "species")
 
 
 QUERIES = {
@@ -408,22 +415,23 @@ def _sites_sql(m: enzymes.Motif) -> str:
 _COPIES = f"{_sites_sql(CHG)}, copies AS (SELECT *, count(*) OVER (PARTITION BY sequence) AS copy_number FROM sites)"
 
 
-def _best_sql(queries: str, references: str) -> str:
-    return f"""near AS (SELECT q.t AS query, r.t AS reference, hamming(q.t, r.t) AS distance
-        FROM (SELECT DISTINCT {queries}) q JOIN (SELECT DISTINCT {references}) r ON length(q.t) = length(r.t) AND hamming(q.t, r.t) <= 2),
-      best AS (SELECT query, min(reference) AS reference, min(distance) AS distance FROM (
-        SELECT *, min(distance) OVER (PARTITION BY query) AS low FROM near) WHERE distance = low GROUP BY query HAVING count(*) = 1)"""
+def _rc(column: str) -> str:
+    return f"reverse(translate({column}, 'ACGT', 'TGCA'))"
 
 
-_SITE_COUNTS = f"""{_sites_sql(CHG)}, {_best_sql('sequence AS t FROM sites WHERE doc_id % 2 = 1', 'sequence AS t FROM sites WHERE doc_id % 2 = 0')},
-  sc AS (SELECT sample, reference AS sequence, count(*) AS n FROM sites JOIN best ON sequence = query WHERE doc_id % 2 = 1 GROUP BY ALL)"""
+# Every site is its own reference, so the best stratum is that of no differences: a read counts where no other
+# site is its reverse complement.
+_SITE_COUNTS = f"""{_sites_sql(CHG)}, uq AS (SELECT DISTINCT sequence FROM sites),
+  alone AS (SELECT a.sequence FROM uq a LEFT JOIN uq b ON b.sequence = {_rc('a.sequence')} WHERE b.sequence IS NULL OR b.sequence = a.sequence),
+  sc AS (SELECT sample, sequence, count(*) AS n FROM sites JOIN alone USING (sequence) GROUP BY ALL)"""
 _LINES = "lc AS (SELECT l_suppkey AS sample, l_partkey AS sequence, count(*) AS n FROM lineitem GROUP BY ALL)"
 _DEPTH = f"""{_LINES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY n DESC) AS k, count(*) OVER (PARTITION BY sample) AS m FROM lc),
   top AS (SELECT * FROM ranked WHERE k <= greatest(1, ceil(m * 0.02)))"""
 _LRT = "2 * (n1 * ln(1 - 0.01 * 3 / 4) + n2 * ln(0.01 / 4) - (n1 + n2) * ln(0.5 - 0.01 / 4))"
-_PILE = f"""{_hits_sql(ALFI)}, {_best_sql('tag AS t FROM hits WHERE doc_id % 2 = 1', 'tag AS t FROM hits WHERE doc_id % 2 = 0')},
-  mapped AS (SELECT sample, reference AS ref_seq, query, count(*) AS n FROM hits JOIN best ON tag = query WHERE doc_id % 2 = 1 GROUP BY ALL),
-  bases AS (SELECT sample, ref_seq, n, unnest(range(1, length(query) + 1)) AS pos, unnest(string_split(query, '')) AS base FROM mapped),
+# Every canonical tag is a reference, so a tag maps without differences to its canonical form and is read on its strand.
+_PILE = f"""{_hits_sql(ALFI)},
+  mapped AS (SELECT sample, least(tag, {_rc('tag')}) AS ref_seq, count(*) AS n FROM hits GROUP BY ALL),
+  bases AS (SELECT sample, ref_seq, n, unnest(range(1, length(ref_seq) + 1)) AS pos, unnest(string_split(ref_seq, '')) AS base FROM mapped),
   piles AS (SELECT sample, ref_seq, pos::INT AS pos, {', '.join(f"coalesce(sum(n) FILTER (base = '{b}'), 0)::BIGINT AS {b}" for b in G.BASES)} FROM bases GROUP BY ALL)"""
 _GT = f"""{_PILE},
   alleles AS (SELECT *, list_sort([(-A, 'A'), (-C, 'C'), (-G, 'G'), (-T, 'T')]) AS l FROM piles),
@@ -431,12 +439,12 @@ _GT = f"""{_PILE},
   gts AS (SELECT sample, ref_seq, pos, n1 + n2 AS depth, CASE WHEN n1 + n2 < 2 OR n1 + n2 >= 500 THEN NULL
      WHEN -{_LRT} > 3.84 THEN least(a1, a2) || greatest(a1, a2) WHEN {_LRT} > 3.84 THEN a1 || a1 END AS gt FROM two)"""
 _QUALITY = f"""{_GT}, al AS (SELECT ref_seq, pos, count(*) AS called, [{', '.join(f"sum((gt[1] = '{b}')::INT + (gt[2] = '{b}')::INT)" for b in G.BASES)}] AS n FROM gts WHERE gt IS NOT NULL GROUP BY ALL),
-  ql AS (SELECT ref_seq, pos, called, called / {len(SOURCES)} AS call_rate, CASE WHEN len(list_filter(n, lambda x: x > 0)) >= 2
+  ql AS (SELECT ref_seq, pos, called, called / (SELECT count(DISTINCT sample) FROM seqs) AS call_rate, CASE WHEN len(list_filter(n, lambda x: x > 0)) >= 2
      THEN list_min(list_filter(n, lambda x: x > 0)) / (2 * called) ELSE 0.0 END AS maf FROM al)"""
 _SPECIES = r"nullif(regexp_replace(regexp_replace(regexp_replace({c}, '^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+\z', '', 'g'), '[ \t\n\x0b\f\r]+', '_', 'g'), '_+', '_', 'g'), '')"
 _RNA = ", ".join(
-    f"{name} AS (SELECT sample_id AS sample, {_SPECIES.format(c='species')} AS species, sum(abundance) AS {name} FROM rna_species_abundance WHERE entry_id % 2 = {k} AND abundance IS NOT NULL AND {_SPECIES.format(c='species')} IS NOT NULL GROUP BY ALL)"
-    for k, name in enumerate(("dna", "rna"))
+    f"{name} AS (SELECT sample_id AS sample, {_SPECIES.format(c='species')} AS species, sum(abundance) AS {name} FROM rna_species_abundance WHERE {side} contains(species, '_') AND abundance IS NOT NULL AND {_SPECIES.format(c='species')} IS NOT NULL GROUP BY ALL)"
+    for name, side in (("dna", ""), ("rna", "NOT"))
 )
 _RATIO = f"""{_RNA}, j AS (SELECT sample, species, coalesce(dna, 0) AS dna, coalesce(rna, 0) AS rna FROM dna FULL JOIN rna USING (sample, species)
     WHERE sample IN (SELECT sample FROM dna) AND sample IN (SELECT sample FROM rna)),
@@ -449,8 +457,6 @@ _VALID = "v AS (SELECT * FROM database_genomes WHERE trim(species) NOT IN ('', '
 _DIFF = """SELECT {k}, 'left' AS side FROM (SELECT {k} FROM {a} EXCEPT SELECT {k} FROM {b})
   UNION ALL SELECT {k}, 'right' FROM (SELECT {k} FROM {b} EXCEPT SELECT {k} FROM {a})"""
 _RANKS = R.LINEAGE[:-1]
-_OLD = f"old AS (SELECT species, min({{{', '.join(f'{chr(39)}{c}{chr(39)}: {c}' for c in _RANKS)}}}) AS o FROM v WHERE source_id NOT LIKE '%.1' GROUP BY species)"
-
 ORACLES = {
     "read_status": f"WITH {_STATUS} SELECT rec_no, status FROM st",
     "retention_qc": f"""WITH {_STATUS} SELECT library_id, count(*) AS total, {', '.join(f"count(*) FILTER (status = '{s}') AS {s}" for s in ('kept', 'ambiguous', 'low_quality', 'empty'))},
@@ -482,8 +488,11 @@ ORACLES = {
     "site_copies": f"WITH {_COPIES} SELECT doc_id, start, strand, sequence, copy_number FROM copies",
     "site_totals": f'WITH {_COPIES} SELECT count(*) AS total, count(*) FILTER (copy_number = 1) AS "unique", count(*) FILTER (copy_number > 1) AS repeated, 0::BIGINT AS ambiguous FROM copies',
     "site_counts": f"WITH {_SITE_COUNTS} SELECT * FROM sc",
-    "site_matrix": f"WITH {_SITE_COUNTS} SELECT sequence, {', '.join(f'''coalesce(sum(n) FILTER (sample = '{s}'), 0)::BIGINT AS {s}''' for s in SOURCES)} FROM sc GROUP BY sequence HAVING max(n) FILTER (sample <> 'none') >= 2",
-    "hamming_best": f"WITH {_hits_sql(BCGI)}, {_best_sql('tag AS t FROM hits WHERE doc_id % 2 = 1', 'tag AS t FROM hits WHERE doc_id % 2 = 0')} SELECT query, reference, distance::INT AS distance FROM best",
+    "site_matrix": f"WITH {_SITE_COUNTS} SELECT sequence, {', '.join(f'''coalesce(sum(n) FILTER (sample = '{s}'), 0)::BIGINT AS {s}''' for s in NAMED_SAMPLES)} FROM sc GROUP BY sequence HAVING max(n) >= 2",
+    "hamming_best": f"""WITH {_hits_sql(BCGI)}, t AS (SELECT DISTINCT tag FROM hits),
+      near AS (SELECT a.tag AS query, b.tag AS reference, hamming(a.tag, b.tag) AS distance FROM t a JOIN t b ON a.tag <> b.tag AND hamming(a.tag, b.tag) <= 2),
+      low AS (SELECT query, min(distance) AS distance FROM near GROUP BY query)
+      SELECT query, min(reference) AS reference, distance::INT AS distance FROM near JOIN low USING (query, distance) GROUP BY query, distance HAVING count(*) = 1""",
     "depth_max_mean": f"WITH {_DEPTH} SELECT sample, avg(n) AS depth_max FROM top GROUP BY sample",
     "depth_max_median": f"WITH {_DEPTH} SELECT sample, median(n) AS depth_max FROM top GROUP BY sample",
     "rpm_m_index": f"""WITH {_DEPTH}, d AS (SELECT sample, avg(n) AS depth_max FROM top GROUP BY sample)
@@ -493,12 +502,12 @@ ORACLES = {
     "genotypes": f"WITH {_GT} SELECT * FROM gts",
     "site_quality": f"WITH {_QUALITY} SELECT * FROM ql",
     "good_sites": f"WITH {_QUALITY} SELECT * FROM ql WHERE call_rate >= 0.4",
-    "backbone": f"""WITH {_GT}, refs AS (SELECT DISTINCT tag AS ref_seq FROM hits WHERE doc_id % 2 = 0),
+    "backbone": f"""WITH {_GT}, refs AS (SELECT DISTINCT ref_seq FROM mapped),
       places AS (SELECT sample, ref_seq, unnest(range(1, {ALFI.length} + 1)) AS pos FROM refs, (SELECT DISTINCT sample FROM gts))
       SELECT sample, coalesce(gt, '--') AS gt, count(*) AS n FROM places LEFT JOIN gts USING (sample, ref_seq, pos) GROUP BY ALL""",
     "genotype_lines": f"""WITH {_GT}, refs AS (SELECT DISTINCT ref_seq FROM gts WHERE gt IS NOT NULL),
       places AS (SELECT ref_seq, unnest(range(1, {ALFI.length} + 1)) AS pos, unnest(string_split(ref_seq, '')) AS base FROM refs)
-      SELECT ref_seq, pos::INT AS pos, base, concat_ws(' ', ref_seq, pos, base, {', '.join(f"coalesce(max(gt) FILTER (sample = '{s}'), '--')" for s in SOURCES)}) AS line
+      SELECT ref_seq, pos::INT AS pos, base, concat_ws(' ', ref_seq, pos, base, {', '.join(f"coalesce(max(gt) FILTER (sample = '{s}'), '--')" for s in NAMED_SAMPLES)}) AS line
       FROM places LEFT JOIN gts USING (ref_seq, pos) GROUP BY ref_seq, pos, base""",
     "named_sites": f"""WITH {_sites_sql(CHG)}, n AS (SELECT doc_id, start, row_number() OVER (ORDER BY doc_id, start) AS site_no FROM sites)
       SELECT doc_id, start, printf('site%09d', site_no) AS site_id, site_no FROM n""",
@@ -517,7 +526,7 @@ ORACLES = {
       c AS (SELECT sample, {', '.join(f"count(*) FILTER (status = '{s}') AS {s}" for s in O.STATUSES[:3])} FROM ratios GROUP BY sample)
       SELECT c.*, all_species - "both" - DNA_only - RNA_only AS missing FROM c, n""",
     "unmatched_species": f"WITH {_RNA} {_DIFF.format(k='species', a='dna', b='rna')}",
-    "unmatched_samples": f"WITH {_RNA} {_DIFF.format(k='sample', a='dna', b='rna')}",
+    "unmatched_samples": f"WITH a AS (SELECT library_id FROM fastq_records WHERE library_id IS NOT NULL), b AS (SELECT library_id FROM serial_manifest) {_DIFF.format(k='library_id', a='a', b='b')}",
     "sample_totals": "SELECT sample_id AS sample FROM rna_species_abundance GROUP BY 1 HAVING abs(sum(abundance) - 1) > 1e-3",
     "kraken_species": f"WITH {_REPORT} SELECT sample, {_SPECIES.format(c='name')} AS species, sum(clade)::BIGINT AS reads FROM report WHERE rank = 'S' AND {_SPECIES.format(c='name')} IS NOT NULL GROUP BY ALL",
     "kraken_totals": f"""WITH {_REPORT}, t AS (SELECT sample, {', '.join(f"coalesce(sum(clade) FILTER (rank = '{r}'), 0)::BIGINT AS {n}" for r, n in (('R', 'classified'), ('U', 'unclassified'), ('S', 'species_reads')))},
@@ -527,6 +536,8 @@ ORACLES = {
     "lineage_conflicts": f"WITH {_VALID} SELECT species, count(DISTINCT concat_ws('|', {', '.join(f'''coalesce({c}, '')''' for c in _RANKS)})) AS lineages FROM v GROUP BY species HAVING lineages > 1",
     "genome_numbers": f"WITH {_VALID}, n AS (SELECT source_id, row_number() OVER (ORDER BY source_id) - 1 AS k FROM v) SELECT source_id, lpad(k::VARCHAR, 8, '0') AS genome_id, (k // 500 + 1) * 500 AS shard FROM n",
     "repeated_species": f"WITH {_VALID} SELECT species, count(*) AS n FROM v GROUP BY species HAVING count(*) > 1",
-    "shared_species": f"WITH {_VALID} SELECT species FROM v WHERE source_id LIKE '%.1' INTERSECT SELECT species FROM v WHERE source_id NOT LIKE '%.1'",
+    "harmonised": f"""WITH {_VALID}, f AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY species ORDER BY source_id) = 1)
+      SELECT v.source_id, species, {', '.join(f'f.{c}' for c in _RANKS)}, {' OR '.join(f'v.{c} IS DISTINCT FROM f.{c}' for c in _RANKS)} AS changed FROM v JOIN f USING (species)""",
+    "shared_species": f"WITH {_VALID} SELECT trim(species) AS species FROM v INTERSECT SELECT {_SPECIES.format(c='species')} FROM rna_species_abundance",
     "listed_species": f"WITH {_VALID}, a AS (SELECT trim(species) AS species FROM v), b AS (SELECT {_SPECIES.format(c='species')} AS species FROM rna_species_abundance WHERE {_SPECIES.format(c='species')} IS NOT NULL) {_DIFF.format(k='species', a='a', b='b')}",
 }

@@ -17,8 +17,8 @@ from tagloom.session import checkpointed, spread, table
 
 ENZYME = enzymes.select("CjeI")[0]
 THRESHOLD = 2.0
-#: The samples that the SQL names.
-SOURCES = ["bulk_xml", "mt_queue", "ocr_scan", "office_feed", "partner_drop"]
+#: The samples of the given tables, for the SQL only: the queries take theirs from the data.
+NAMED_SAMPLES = ["bulk_xml", "mt_queue", "none", "ocr_scan", "office_feed", "partner_drop"]
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,8 +182,8 @@ def subspecies_merge(spark, sf_dir):
 
 
 def first_hit(spark, sf_dir):
-    reads = D.cut_reads(sequences(spark, sf_dir), ["doc_id"], 200).withColumn("qual", F.col("seq"))
-    return D.first_hit(reads, enzymes.select("AlfI")[0], read_length=200).select("doc_id", "part", "tag", "tag_qual")
+    reads = table(spark, sf_dir, "fastq_records").select("rec_no", F.upper("seq").alias("seq"), "qual")
+    return D.first_hit(reads, enzymes.select("Hin4I")[0], read_length=45).select("rec_no", "tag", "tag_qual")
 
 
 def dedup_digest(spark, sf_dir):
@@ -201,9 +201,9 @@ def tag_keys(spark, sf_dir):
 
 
 def stats_recount(spark, sf_dir):
-    """Genomes whose count is off after the tags of every tenth genome got lost from the unique table."""
-    _, unique, stats = _database(spark, sf_dir)
-    return R.stats_mismatches(stats, unique.where("genome_id % 10 <> 0")).select("genome_id")
+    """Genomes whose single-copy count or mean differs from a recount over the tags of all copies."""
+    master, _, stats = _database(spark, sf_dir)
+    return R.stats_mismatches(stats, R.unique_tags(master, single_copy=False)).select(F.coalesce("genome_id", "again").alias("genome_id"))
 
 
 def presence_flags(spark, sf_dir):
@@ -235,8 +235,8 @@ quant AS (SELECT sample, taxon, seq_tags / theoretical AS percent, seq_reads / t
     SELECT sample, taxon, count(*) AS seq_tags, sum(n) AS seq_reads FROM counts JOIN (SELECT DISTINCT sample, tag, taxon FROM own) USING (sample, tag) GROUP BY ALL)
     JOIN (SELECT DISTINCT sample, taxon, taxon_mean AS theoretical FROM own_stats) USING (sample, taxon)),
 abd AS (SELECT sample, taxon, density / sum(density) OVER (PARTITION BY sample) AS abundance FROM quant)"""
-_WIDE = ", ".join(f"coalesce(sum(abundance) FILTER (sample = '{s}'), 0.0) AS {s}" for s in SOURCES)
-_ALFI, _HIN = enzymes.select("AlfI")[0], enzymes.select("Hin4I")[0]
+_WIDE = ", ".join(f"coalesce(sum(abundance) FILTER (sample = '{s}'), 0.0) AS {s}" for s in NAMED_SAMPLES)
+_HIN = enzymes.select("Hin4I")[0]
 
 DIGESTS = {f"digest_{n.lower()}": digest_query(n) for n in ("CjePI", "CjeI", "BcgI", "AlfI", "Hin4I")}
 QUERIES = {
@@ -254,8 +254,10 @@ _MERGED = "CASE WHEN regexp_matches(species, '[A-Z]$') THEN regexp_replace(speci
 ORACLES = {
     **{k: v[1] for k, v in DIGESTS.items()},
     "tag_keys": f"WITH {_DB} SELECT tag, printf('%08d%04d', genome_id, copies) AS key, genome_id, copies FROM master",
-    "stats_recount": f"""WITH {_DB}, again AS (SELECT taxon, genome_id, genome_tags, avg(genome_tags) OVER (PARTITION BY taxon) AS mean FROM gstats WHERE genome_id % 10 <> 0)
-        SELECT genome_id FROM stats LEFT JOIN again USING (genome_id) WHERE NOT coalesce(abs(taxon_mean - mean) <= 1e-4, false)""",
+    "stats_recount": f"""WITH {_DB}, n AS (SELECT taxon, genome_id, count(*) AS genome_tags FROM master WHERE tag IN (SELECT tag FROM confined) GROUP BY ALL),
+        again AS (SELECT *, avg(genome_tags) OVER (PARTITION BY taxon) AS mean FROM n)
+        SELECT coalesce(s.genome_id, a.genome_id) AS genome_id FROM stats s FULL JOIN again a ON s.genome_id = a.genome_id
+        WHERE NOT coalesce(s.genome_tags = a.genome_tags AND abs(taxon_mean - mean) <= 1e-4, false)""",
     "presence_flags": f"WITH {_DB} SELECT taxon, max((g_score >= {THRESHOLD})::INT) AS present FROM prof GROUP BY taxon",
     "digest_stats": f"""WITH {_E_HITS}, n AS (SELECT sample, count(*) AS tags FROM hits GROUP BY sample)
         SELECT sample, count(*) AS reads, coalesce(max(tags), 0) AS tags, coalesce(max(tags), 0) / count(*) AS ratio
@@ -272,9 +274,9 @@ ORACLES = {
         ln(depth * theoretical / total) AS ln_share FROM (SELECT *, sum(seq_reads) OVER (PARTITION BY sample) AS total FROM prof) WHERE g_score > 2.0""",
     "quant_database": f"WITH {_QUANT} SELECT sample, genome_id, taxon, genome_tags, taxon_mean FROM own_stats",
     "abundance_long": f"WITH {_QUANT} SELECT * FROM abd",
-    "abundance_wide": f"WITH {_QUANT} SELECT taxon, {_WIDE} FROM abd GROUP BY taxon HAVING max(abundance) FILTER (sample <> 'none') > 0",
-    "abundance_unpivot": f"""WITH {_QUANT}, w AS (SELECT taxon, {_WIDE} FROM abd GROUP BY taxon HAVING max(abundance) FILTER (sample <> 'none') > 0)
-        SELECT taxon, sample, abundance FROM (UNPIVOT w ON {', '.join(SOURCES)} INTO NAME sample VALUE abundance)""",
+    "abundance_wide": f"WITH {_QUANT} SELECT taxon, {_WIDE} FROM abd GROUP BY taxon HAVING max(abundance) > 0",
+    "abundance_unpivot": f"""WITH {_QUANT}, w AS (SELECT taxon, {_WIDE} FROM abd GROUP BY taxon HAVING max(abundance) > 0)
+        SELECT taxon, sample, abundance FROM (UNPIVOT w ON {', '.join(NAMED_SAMPLES)} INTO NAME sample VALUE abundance)""",
     "coverage_clip": f"WITH {_QUANT} SELECT sample, taxon, least(percent, 1.0) AS coverage FROM quant",
     "host_rescale": f"""WITH {_QUANT}, h AS (SELECT *, coalesce(max(abundance) FILTER (taxon = 'en') OVER (PARTITION BY sample), 0) AS h FROM abd)
         SELECT sample, taxon, abundance * CASE WHEN h < 1 THEN 1 / (1 - h) ELSE 0.0 END AS abundance FROM h WHERE taxon <> 'en'""",
@@ -283,9 +285,9 @@ ORACLES = {
     "subspecies_merge": f"""WITH {_DB}, named AS (SELECT *, taxon || '_sub_' || upper(substr(taxon, 1, 1)) AS species FROM prof)
         SELECT sample, {_MERGED} AS merged, sum(seq_tags)::BIGINT AS seq_tags, sum(seq_reads)::BIGINT AS seq_reads,
           sqrt(sum(seq_tags) * sum(seq_reads)::DOUBLE) AS g_score FROM named GROUP BY ALL""",
-    "first_hit": f"""WITH {_seqs_sql()}, cut AS (SELECT doc_id, seq, unnest(range(0, (length(seq) + 199) // 200))::INT AS part FROM seqs),
-        hit AS (SELECT doc_id, part, regexp_extract(substr(seq, part * 200 + 1, 200), '{_ALFI.forward}') AS tag FROM cut)
-        SELECT doc_id, part, tag, tag AS tag_qual FROM hit WHERE tag <> ''""",
+    "first_hit": f"""WITH h AS (SELECT rec_no, substr(upper(seq), 1, 45) AS s, substr(qual, 1, 45) AS q FROM fastq_records),
+        t AS (SELECT *, coalesce(nullif(regexp_extract(s, '{_HIN.forward}'), ''), nullif(regexp_extract(s, '{_HIN.reverse}'), '')) AS tag FROM h)
+        SELECT rec_no, tag, substr(q, instr(s, tag), {_HIN.length}) AS tag_qual FROM t WHERE tag IS NOT NULL""",
     "dedup_digest": f"""WITH {_seqs_sql()} SELECT doc_id, (i - 1)::INT AS start, substr(seq, i, {_HIN.length}) AS tag, (i - 1 + {_HIN.length})::INT AS "end" FROM (
         SELECT doc_id, seq, unnest(list_filter(range(1, length(seq) - {_HIN.length} + 2), lambda i: regexp_full_match(substr(seq, i, {_HIN.length}), '{_HIN.forward}|{_HIN.reverse}'))) AS i FROM seqs)""",
     "plain_scan": f"""WITH {_seqs_sql()}, scans AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
@@ -50,3 +50,12 @@ def spread(df: DataFrame) -> DataFrame:
 def extended(df: DataFrame, columns: str) -> StructType:
     """The schema of ``df`` with more columns in DDL behind it."""
     return StructType([*df.schema.fields, *StructType.fromDDL(columns).fields])
+
+
+def with_totals(df: DataFrame, keys: list[str], **totals: Column) -> DataFrame:
+    """``df`` with aggregates of the rows of each key, keys not null.
+
+    The aggregate combines before its shuffle and has one row for each key, so no task holds all rows
+    of a key as a window over it would; a hot key is left to the adaptive skew join.
+    """
+    return df.join(df.groupBy(*keys).agg(*[c.alias(name) for name, c in totals.items()]), keys)

@@ -80,8 +80,9 @@ def test_hamming_pairs_equal_brute_force(spark, length, letters):
     dq, dr = spark.createDataFrame([(x,) for x in q], "query string"), spark.createDataFrame([(x,) for x in r], "reference string")
     dist = lambda a, b: sum(x != y for x, y in zip(a, b))
     expected = {(a, b, "+", dist(a, b)) for a in q if a for b in r if b and len(a) == len(b) and dist(a, b) <= 2}
-    got = {tuple(x) for x in A.hamming_pairs(dq, dr, 2).where("query <> ''").collect()}
-    assert got == expected
+    for hot in (A.HOT, 1, 4):  # segments of more references than that are split further
+        got = [tuple(x) for x in A.hamming_pairs(dq, dr, 2, hot=hot).where("query <> ''").collect()]
+        assert len(got) == len(set(got)) and set(got) == expected
     best = {}
     for a, b, _, d in expected:
         best.setdefault(a, []).append((d, b))
@@ -96,6 +97,15 @@ def test_methylation_numbers(spark):
     assert m["x2"]["rpm"] is None and m["x5"]["rpm"] == 5 / 5050 * 1e6 and math.isclose(m["x10"]["m_index"], math.log(10) / math.log(99.5))
     sites = spark.createDataFrame([(1, "ACGT"), (2, "ACGT"), (3, "AAAA"), (4, "ANNA")], "site long, sequence string")
     assert tuple(M.site_totals(M.copy_numbers(sites)).first()) == (4, 1, 2, 1)
+    reads = spark.createDataFrame([("s",)] * 9 + [("t",)], "sample string")
+    got = M.mapping_totals(reads, spark.createDataFrame([("s", "a", 5), ("s", "b", 1)], "sample string, sequence string, n long"))
+    assert rows(got) == [("s", 9, 6, 2, 1), ("t", 1, 0, 0, 0)]
+    listed = spark.createDataFrame([("x1", 7), ("x2", 8), ("x2", 8)], "site_id string, start int")
+    found = lambda *ids: M.require_sites(spark.createDataFrame([(i, 1) for i in ids], "site_id string, n long"), listed)
+    assert rows(found("x1")) == [("x1", 1, 7)]
+    for bad, what in ((("x1", "x9"), "no such site: x9"), (("x2",), "site listed twice: x2")):
+        with pytest.raises(Exception, match=what):
+            found(*bad).collect()
 
 
 def test_genotypes(spark):
@@ -128,7 +138,11 @@ def test_ratios(spark):
 def test_absolute_and_reports(spark):
     a = spark.createDataFrame([("s", "h", 0.4), ("s", "x", 0.2), ("n", "x", 1.0)], "sample string, taxon string, abundance double")
     meta = spark.createDataFrame([("s", 2e6, 0.5, 100.0, 10.0), ("n", 1.0, 1.0, 1.0, 1.0)], "sample string, ch double, ve double, vd double, vl double")
-    assert rows(O.absolute(a, meta, "h").where("taxon = 'x'")) == [("s", "x", 0.2, 1e6, 50000.0)]
+    assert rows(O.absolute(a, meta, "h", strict=False).where("taxon = 'x'")) == [("s", "x", 0.2, 1e6, 50000.0)]
+    assert rows(O.absolute(a.where("sample = 's'"), meta, "h").where("taxon = 'x'")) == [("s", "x", 0.2, 1e6, 50000.0)]
+    for bad, what in ((a, "no host share in n"), (a.where("sample = 's'").selectExpr("'u' as sample", "taxon", "abundance"), "no metadata for u")):
+        with pytest.raises(Exception, match=what):
+            O.absolute(bad, meta, "h").collect()
     report = spark.createDataFrame([("s", 80, "R", "root"), ("s", 15, "U", "u"), ("s", 5, "U", "u"), ("s", 30, "S", " A  b"), ("s", 0, "S", "C d"), ("s", 70, "G", "A")], "sample string, clade long, rank string, name string")
     t = O.kraken_totals(report).first()
     assert (t["classified"], t["unclassified"], t["species_reads"], t["detected"], t["classified_share"]) == (80, 20, 30, 1, 0.8)

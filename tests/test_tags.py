@@ -67,7 +67,7 @@ def test_digest_equals_model(spark, enzyme):
 def test_positional_and_plain_scans(spark):
     text = dna(9000)
     df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "id long, seq string")
-    found = rows(D.positional_hits(df, ["id"], CJEI.length, {"f": CJEI.forward, "r": CJEI.reverse}, tile=500))
+    found = rows(D.positional_hits(df, ["id"], {"f": CJEI.forward, "r": CJEI.reverse}))
     expected = [(1, m.start(), n, m[1]) for n, p in (("f", CJEI.forward), ("r", CJEI.reverse)) for m in re.finditer(f"(?=({p}))", text)]
     assert found == sorted(expected, key=str)
     ends = {}
