@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tagloom.plans import omics, parsing, tags
+from tagloom.plans import files, omics, parsing, tags
 
-_MODULES = (parsing, tags, omics)
+_MODULES = (parsing, tags, omics, files)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}

@@ -41,9 +41,29 @@ def rendered(value: Column, form: str = ".12g", missing: str = "NA") -> Column:
     return render(value.cast("double"))
 
 
-def write_tsv(df: DataFrame, path: str, order: list[str], form: str = ".12g", mode: str = "errorifexists") -> None:
-    """Sorted rows with a header; doubles by ``form``, nulls NA."""
+def write_tsv(df: DataFrame, path: str, order: list[str], form: str = ".12g", mode: str = "errorifexists", one_file: bool = False) -> None:
+    """Sorted rows; doubles by ``form``, nulls NA.
+
+    The order runs over the part files, each of which has the header. ``one_file`` is for tables that
+    are known to be small: it takes all rows through one task.
+    """
     out = df.orderBy(*order).select(
         *[rendered(F.col(f"`{c}`"), form).alias(c) if t == "double" else F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NA")).alias(c) for c, t in df.dtypes]
     )
-    out.coalesce(1).write.mode(mode).option("sep", "\t").option("quote", "").option("header", True).csv(path)
+    (out.coalesce(1) if one_file else out).write.mode(mode).option("sep", "\t").option("quote", "").option("header", True).csv(path)
+
+
+def write_id_map(genomes: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """source_id and genome_id with a header."""
+    write_tsv(genomes.select("source_id", "genome_id"), path, ["genome_id"], mode=mode)
+
+
+def write_taxonomy(genomes: DataFrame, path: str, lineage: tuple[str, ...], mode: str = "errorifexists") -> None:
+    """genome_id, lineage and genome path in the order of the ids, compressed."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in ("genome_id", *lineage, "genome_path")])
+    genomes.orderBy("genome_id").select(line.alias("value")).write.mode(mode).text(path, compression="gzip")
+
+
+def dump_tags(master: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """B2: a database's tags back as FASTA, one record for each tag and genome, named genome_copies."""
+    write_records(master, fasta_record(F.concat_ws("_", "genome_id", F.col("copies").cast("string")), F.col("tag")), path, mode=mode)

@@ -92,6 +92,30 @@ def wide_matrix(spark: SparkSession, path: str, row: str, lineage: tuple[str, ..
     return _check(long, bad, "invalid value").drop("text")
 
 
+def site_table(spark: SparkSession, path: str) -> DataFrame:
+    """(site_id, seqname, start_1based, strand, sequence, copy_number) of a list of sites; copy_number null where NA."""
+    df = read_tsv(spark, path, ("site_id", "seqname", "start_1based", "strand", "sequence", "copy_number"))
+    return df.withColumns({"start_1based": F.col("start_1based").cast("long"), "copy_number": F.expr("try_cast(copy_number as bigint)")})
+
+
+def count_table(spark: SparkSession, path: str) -> DataFrame:
+    """(site_id, raw_count) of a sample's counts; another header or a count that is no number is an error."""
+    df = read_tsv(spark, path)
+    if df.columns != ["site_id", "raw_count"]:
+        raise ValueError(f"{path} has the columns {df.columns}")
+    return _check(df.withColumn("raw_count", F.expr("try_cast(raw_count as bigint)")), F.col("raw_count").isNull(), "no count")
+
+
+def profile_table(spark: SparkSession, path: str, first_metric: str = "theoretical") -> DataFrame:
+    """A sample profile with its lineage, the columns before the first metric, as one array and one key; metrics as numbers."""
+    df = read_tsv(spark, path, (first_metric,))
+    ranks, metrics = df.columns[: df.columns.index(first_metric)], df.columns[df.columns.index(first_metric) :]
+    lineage = [F.col(f"`{c}`") for c in ranks]
+    return df.select(
+        F.array(*lineage).alias("lineage"), F.concat_ws("\t", *lineage).alias("lineage_key"), *lineage, *[F.expr(f"try_cast(`{c}` as double)").alias(c) for c in metrics]
+    )
+
+
 def quant_metadata(spark: SparkSession, path: str) -> DataFrame:
     """(sample, ch, ve, vd, vl) of whitespace-separated text; columns in any case, all positive, volumes optional."""
     lines = spark.read.text(path).where("trim(value) <> '' and value not like '#%'")
@@ -108,11 +132,13 @@ def quant_metadata(spark: SparkSession, path: str) -> DataFrame:
     return _no_repeats(_check(df, bad, "not positive"), "sample")
 
 
-def kraken_report(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(sample, pct, clade, direct, rank, taxid, name) of six-column reports; the sample is the file's name."""
+def kraken_report(spark: SparkSession, paths: str | list[str], by_folder: bool = False) -> DataFrame:
+    """(sample, pct, clade, direct, rank, taxid, name) of six-column reports; the sample is the file's name, or ``sample=`` of its folder."""
     schema = "pct double, clade long, direct long, rank string, taxid string, name string"
-    df = spark.read.option("sep", "\t").option("quote", "").schema(schema).csv(paths)
-    df = df.withColumn("sample", F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)).withColumn("name", F.trim("name"))
+    df = spark.read.option("sep", "\t").option("quote", "").schema(f"{schema}, sample string" if by_folder else schema).csv(paths)
+    if not by_folder:
+        df = df.withColumn("sample", F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1))
+    df = df.withColumn("name", F.trim("name"))
     twice = df.where("rank = 'R'").groupBy("sample").agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
     if twice:
         raise ValueError(f"two root rows in the report of {twice[0]['sample']}")

@@ -6,11 +6,11 @@ import pytest
 
 import __spark_entry__
 from tagloom.operators import model
-from tagloom.plans import omics, parsing, registry, tags
+from tagloom.plans import files, omics, parsing, registry, tags
 
 SF = "/root/testdata/sf0.001"
-PYTHON_SCANS = {"dedup_digest", "merged_pairs", "motif_sites_cpg", "motif_sites_chg", "site_copies", "site_totals"}
-CHECKPOINTS = {n for m in (tags, omics) for n in m.QUERIES if n.startswith(("unique", "profile", "genomes_d", "quant", "abundance", "coverage", "host", "split_s", "subsp", "site", "hamming", "pileup", "geno", "good", "backbone", "enzyme"))}
+PYTHON_SCANS = {"lenient_files", "model_calls", "dedup_digest", "merged_pairs", "motif_sites_cpg", "motif_sites_chg", "site_copies", "site_totals"}
+CHECKPOINTS = {n for m in (tags, omics, files) for n in m.QUERIES if n.startswith(("unique", "profile", "genomes_d", "quant", "abundance", "coverage", "host", "split_s", "subsp", "site", "hamming", "pileup", "mapping_totals", "geno", "good", "backbone", "enzyme"))}
 
 
 def plan(df):
