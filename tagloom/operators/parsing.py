@@ -20,7 +20,7 @@ _WS = r"[ \t\r\n]*"
 JSON_FOUR = rf"\A{_WS}\[{_WS}" + rf"{_WS},{_WS}".join([_JSON_STRING] * 4) + rf"{_WS}\]{_WS}\z"
 JSON_ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
 
-#: column number, reason, pattern that a valid value matches
+#: column number, reason, pattern that a valid value matches; a rule's number is its place here
 RULES = (
     (0, "header_without_at", r"\A@"),
     (0, "header_blank", r"\A(?:@[^\h\v]|[^@]|\z)"),
@@ -33,7 +33,15 @@ RULES = (
 
 def rule_table(spark: SparkSession) -> DataFrame:
     """The rules as a table; its size is fixed by ``RULES``."""
-    return spark.createDataFrame(list(RULES), "column_no int, reason string, pattern string")
+    return spark.createDataFrame([(i, *rule) for i, rule in enumerate(RULES)], "rule_no int, column_no int, reason string, pattern string")
+
+
+def holds(rule_no: Column, value: Column) -> Column:
+    """Whether a value obeys a rule; each pattern is compiled once, as it is written into the plan."""
+    verdict = F.lit(None).cast("boolean")
+    for i, (_, _, pattern) in enumerate(RULES):
+        verdict = F.when(rule_no == i, value.rlike(pattern)).otherwise(verdict)
+    return verdict
 
 
 def parse_cells(layout: Column, raw: Column) -> Column:
@@ -89,7 +97,7 @@ def find_errors(
     )
     judged = exploded.join(F.broadcast(rule_table(spark)), "column_no", "left").select(
         "_id", "_content",
-        F.coalesce("whole", F.when(~F.expr("value rlike pattern"), F.col("reason"))).alias("reason"),
+        F.coalesce("whole", F.when(~holds(F.col("rule_no"), F.col("value")), F.col("reason"))).alias("reason"),
         F.when(F.col("column_no") == 1, F.length("value")).alias("seq_length"),
         F.when(F.col("column_no") == 3, F.length("value")).alias("qual_length"),
     )

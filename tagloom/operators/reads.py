@@ -97,14 +97,21 @@ def demultiplex(windows: DataFrame, manifest: DataFrame, library: str = "library
 _COMPLEMENT = bytes.maketrans(b"ACGTN", b"TGCAN")
 
 
-def best_overlap(r1: str, r2: str, least: int, share: float) -> int:
-    """Length of the longest overlap of r1's end with the reverse complement of r2's start that agrees on ``share``; 0 if none."""
-    a = np.frombuffer(r1.encode(), np.uint8)
-    b = np.frombuffer(r2.encode().translate(_COMPLEMENT)[::-1], np.uint8)
-    for n in range(min(len(a), len(b)), least - 1, -1):
-        if np.count_nonzero(a[-n:] == b[:n]) >= share * n:
-            return n
-    return 0
+def best_overlaps(r1: np.ndarray, r2: np.ndarray, least: int, share: float) -> np.ndarray:
+    """Length of the longest overlap of each r1's end with its r2's start that agrees on ``share``; 0 if none.
+
+    Rows of letters of one length a side; r2 already turned to r1's strand. All pairs are tried at once
+    for a length, those with an overlap leave.
+    """
+    out, live = np.zeros(len(r1), np.int32), np.arange(len(r1))
+    for n in range(min(r1.shape[1], r2.shape[1]), least - 1, -1):
+        same = np.count_nonzero(r1[live, r1.shape[1] - n :] == r2[live, :n], axis=1)
+        fits = same >= share * n
+        out[live[fits]] = n
+        live = live[~fits]
+        if not len(live):
+            break
+    return out
 
 
 def merge_pairs(pairs: DataFrame, keys: list[str], least: int = 10, share: float = 0.9, shortest: int = 0, longest: int = 10**9) -> DataFrame:
@@ -117,12 +124,13 @@ def merge_pairs(pairs: DataFrame, keys: list[str], least: int = 10, share: float
 
     def run(frames):
         for pdf in frames:
-            rows = []
-            for *key, r1, r2 in pdf.itertuples(index=False):
-                if n := best_overlap(r1, r2, least, share):
-                    merged = r1 + r2.encode().translate(_COMPLEMENT)[::-1].decode()[n:]
-                    if shortest <= len(merged) <= longest:
-                        rows.append((*key, merged, n))
-            yield pd.DataFrame(rows, columns=[*keys, "merged", "overlap"]).astype({"overlap": "int32"})
+            turned = pdf["seq_2"].map(lambda x: x.encode().translate(_COMPLEMENT)[::-1].decode())
+            overlap = pd.Series(np.zeros(len(pdf), np.int32), index=pdf.index)
+            for _, own in pdf.groupby([pdf["seq_1"].str.len(), turned.str.len()]).groups.items():
+                letters = [np.frombuffer("".join(x[own]).encode(), np.uint8).reshape(len(own), -1) for x in (pdf["seq_1"], turned)]
+                overlap[own] = best_overlaps(*letters, least, share)
+            merged = pd.Series([a + b[n:] for a, b, n in zip(pdf["seq_1"], turned, overlap)], index=pdf.index, dtype=object)
+            out = pdf[keys].assign(merged=merged, overlap=overlap)
+            yield out[(overlap > 0) & merged.str.len().between(shortest, longest)]
 
     return pairs.select(*keys, "seq_1", "seq_2").where("length(seq_1) > 0 and length(seq_2) > 0").mapInPandas(run, schema)

@@ -457,6 +457,24 @@ _VALID = "v AS (SELECT * FROM database_genomes WHERE trim(species) NOT IN ('', '
 _DIFF = """SELECT {k}, 'left' AS side FROM (SELECT {k} FROM {a} EXCEPT SELECT {k} FROM {b})
   UNION ALL SELECT {k}, 'right' FROM (SELECT {k} FROM {b} EXCEPT SELECT {k} FROM {a})"""
 _RANKS = R.LINEAGE[:-1]
+
+
+def _fixed_sql(m: enzymes.Motif, adapter: str) -> str:
+    """Reads with the motif at its place or one base beside it; the window lies on the read before the adapter."""
+    assert not m.both and m.shift == 1
+    shape = enzymes.motif_regex(m.motif)
+
+    def window(offset: int, column: str) -> str:
+        first = m.start - 1 + offset - m.left
+        return f"CASE WHEN {first} >= 0 AND bound >= {first + m.length} AND regexp_full_match(substr(s, {first + m.left + 1}, {len(m.motif)}), '{shape}') THEN substr({column}, {first + 1}, {m.length}) END"
+
+    return f"""r AS (SELECT library_id, rec_no, upper(seq) AS s, qual, CASE WHEN contains(upper(seq), '{adapter}') THEN instr(upper(seq), '{adapter}') - 1 ELSE length(seq) END AS bound FROM fastq_records),
+      w AS (SELECT *, {', '.join(f"{window(o, c)} AS {c}{k}" for k, o in enumerate((0, -1, 1)) for c in ('s', 'qual'))} FROM r)
+      SELECT library_id, rec_no, CASE WHEN s0 IS NOT NULL OR (s1 IS NULL) <> (s2 IS NULL) THEN 'matched' WHEN s1 IS NOT NULL THEN 'ambiguous' ELSE 'no_match' END AS status,
+        CASE WHEN s0 IS NOT NULL THEN s0 WHEN s1 IS NULL OR s2 IS NULL THEN coalesce(s1, s2) END AS sequence,
+        CASE WHEN s0 IS NOT NULL THEN qual0 WHEN s1 IS NULL OR s2 IS NULL THEN coalesce(qual1, qual2) END AS quality FROM w"""
+
+
 ORACLES = {
     "read_status": f"WITH {_STATUS} SELECT rec_no, status FROM st",
     "retention_qc": f"""WITH {_STATUS} SELECT library_id, count(*) AS total, {', '.join(f"count(*) FILTER (status = '{s}') AS {s}" for s in ('kept', 'ambiguous', 'low_quality', 'empty'))},
@@ -483,6 +501,12 @@ ORACLES = {
       w AS (SELECT library_id, position, length(seq) <= e AS truncated FROM fastq_records, pos WHERE substr(seq, s + 1, e - s + 1) <> '')
       SELECT sample, library_id, position, count(*) AS n, count(*) FILTER (truncated) AS truncated FROM w JOIN m USING (library_id, position) GROUP BY ALL""",
     "manifest_long": f"WITH {_MANIFEST} SELECT m.*, reads FROM m LEFT JOIN (SELECT library_id, count(*) AS reads FROM fastq_records GROUP BY 1) USING (library_id)",
+    "merged_pairs": f"""WITH {_seqs_sql()}, cut AS (SELECT doc_id, part::INT AS part, substr(seq, part * 160 + 1, 160) AS s FROM (
+        SELECT *, unnest(range(0, (length(seq) + 159) // 160)) AS part FROM seqs)),
+      pairs AS (SELECT doc_id, part, left(s, 100) AS a, right(s, 100) AS b FROM cut WHERE s <> ''),
+      o AS (SELECT *, list_max(list_filter(range(10, least(length(a), length(b)) + 1), lambda n: n - hamming(right(a, n), left(b, n)) >= 0.9 * n)) AS overlap FROM pairs)
+      SELECT doc_id, part, a || substr(b, overlap + 1) AS merged, overlap::INT AS overlap FROM o WHERE overlap IS NOT NULL""",
+    "fixed_motif_reads": f"""WITH {_fixed_sql(RLAI, 'ACGTACGTACG')}""",
     "motif_sites_cpg": f"WITH {_sites_sql(CPG)} SELECT doc_id, start, strand, sequence FROM sites",
     "motif_sites_chg": f"WITH {_sites_sql(CHG)} SELECT doc_id, start, strand, sequence FROM sites",
     "site_copies": f"WITH {_COPIES} SELECT doc_id, start, strand, sequence, copy_number FROM copies",

@@ -49,7 +49,21 @@ judged AS (
   FROM raw_cells)
 """
 
+_WHOLE = """CASE WHEN raw IS NULL THEN 'no_value' WHEN layout IS NULL OR layout NOT IN ('fastq', 'tsv', 'json') THEN 'unknown_layout'
+    WHEN cells IS NULL THEN 'json_not_four_strings' WHEN len(cells) <> 4 THEN 'column_count' END"""
+_BROKEN = r"""list_sort(list_filter([
+    CASE WHEN NOT starts_with(cells[1], '@') THEN 'header_without_at' END,
+    CASE WHEN regexp_matches(cells[1], '^@([\s\x0b\x{85}\p{Z}]|$)') THEN 'header_blank' END,
+    CASE WHEN cells[2] = '' THEN 'seq_empty' END,
+    CASE WHEN NOT regexp_full_match(cells[2], '[ACGTNacgtn]*') THEN 'seq_alphabet' END,
+    CASE WHEN NOT starts_with(cells[3], '+') THEN 'plus_missing' END,
+    CASE WHEN NOT regexp_full_match(cells[4], '[!-~]*') THEN 'qual_characters' END,
+    CASE WHEN length(cells[2]) <> length(cells[4]) THEN 'qual_length' END], lambda x: x IS NOT NULL))"""
+
 ORACLES = {
+    "p1_rejects": f"""WITH {_CELLS}, w AS (SELECT raw_id, {_WHOLE} AS whole, cells FROM raw_cells),
+      r AS (SELECT raw_id, coalesce(whole, array_to_string({_BROKEN}, ',')) AS reasons FROM w)
+      SELECT raw_id, reasons FROM r WHERE reasons <> ''""",
     "p1_found": f"WITH {_CELLS} SELECT raw_id FROM judged WHERE NOT valid",
     "p1_loaded": f"""WITH {_CELLS} SELECT raw_id, library_id, cells[1] AS header, cells[2] AS seq,
         cells[3] AS plus, cells[4] AS qual FROM judged WHERE valid""",
