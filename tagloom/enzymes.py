@@ -51,6 +51,17 @@ def motif_regex(motif: str) -> str:
     return "".join(out)
 
 
+def anchored_regex(site: str) -> str:
+    """A Java regex whose group 1 is a hit, found by the first letter of the site that isn't N.
+
+    Only that letter is consumed, so overlapping hits are found; flanks are tried where it stands, not at
+    every place, and the hit is taken from its start by a look-ahead inside the look-behind.
+    """
+    k = next(i for i, c in enumerate(site) if c != "N")
+    letter = motif_regex(site[k])
+    return f"{letter}(?={motif_regex(site[k + 1:])})(?<=(?=(.{{{len(site)}}})){motif_regex(site[:k])}{letter})"
+
+
 @dataclass(frozen=True)
 class Enzyme:
     id: int
@@ -79,6 +90,11 @@ class Enzyme:
     def patterns(self) -> tuple[str, ...]:
         return (self.forward,) if self.palindromic else (self.forward, self.reverse)
 
+    @property
+    def anchored(self) -> tuple[str, ...]:
+        """``patterns`` for scans of long sequences in Spark."""
+        return tuple(map(anchored_regex, (self.site,) if self.palindromic else (self.site, reverse_complement(self.site))))
+
     @property
     def expected(self) -> int:
         """Length of five concatenated units with four 3-nt linkers; merged reads may differ by 15."""

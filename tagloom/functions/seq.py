@@ -68,6 +68,11 @@ def quality_passes(qual: Column, quality: int, percent: float, offset: int = 33)
     return (F.length(qual) > 0) & (bases_above(qual, quality, offset) * 100 >= F.length(qual) * percent)
 
 
+def first_groups(seq: Column, pattern: str) -> Column:
+    """Group 1 of each match of a pattern."""
+    return F.regexp_extract_all(seq, F.lit(pattern), F.lit(1))
+
+
 def overlapping(seq: Column, pattern: str) -> Column:
     """All hits of a pattern, overlapping ones too."""
     return F.regexp_extract_all(seq, F.lit(f"(?=({pattern}))"), F.lit(1))

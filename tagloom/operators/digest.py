@@ -1,6 +1,7 @@
 """In-silico digestion and tag extraction (survey D1-D12).
 
-Hits of a whole contig come from one look-ahead regex per strand inside whole-stage codegen. The
+Hits of a whole contig come from one regex per strand inside whole-stage codegen, anchored at the
+first fixed letter of the site. The
 second strand is scanned with the mirrored pattern on the same text and only the short hits are
 turned round, so no contig is ever reversed.
 """
@@ -26,11 +27,11 @@ def digest(df: DataFrame, enzyme: Enzyme, seq: str = "seq", strict_case: bool =
     where lower-case letters match nothing, and the other strand in upper case.
     """
     text, upper = F.col(seq), F.upper(seq)
-    hits = [F.transform(S.overlapping(text if strict_case else upper, enzyme.forward), lambda t: F.struct(F.lit("+").alias("strand"), t.alias("tag")))]
+    hits = [F.transform(S.first_groups(text if strict_case else upper, enzyme.anchored[0]), lambda t: F.struct(F.lit("+").alias("strand"), t.alias("tag")))]
     if not enzyme.palindromic:
         hits.append(
             F.transform(
-                S.overlapping(upper, enzyme.reverse),
+                S.first_groups(upper, enzyme.anchored[1]),
                 lambda t: F.struct(F.lit("-").alias("strand"), S.reverse_complement(t).alias("tag")),
             )
         )
@@ -40,7 +41,7 @@ def digest(df: DataFrame, enzyme: Enzyme, seq: str = "seq", strict_case: bool =
 
 def digest_stats(df: DataFrame, enzyme: Enzyme, key: str, seq: str = "seq") -> DataFrame:
     """Reads, tags and their ratio per key; no explode, the hits are only counted."""
-    n = sum((F.size(S.overlapping(F.upper(seq), p)) for p in enzyme.patterns), F.lit(0))
+    n = sum((F.regexp_count(F.upper(seq), F.lit(p)) for p in enzyme.anchored), F.lit(0))
     return df.groupBy(key).agg(
         F.count(seq).alias("reads"), F.coalesce(F.sum(F.when(F.col(seq).isNotNull(), n)), F.lit(0)).cast("long").alias("tags")
     ).withColumn("ratio", S.safe_share(F.col("tags"), F.col("reads")))
