@@ -251,7 +251,22 @@ QUERIES = {
     "first_hit": first_hit, "dedup_digest": dedup_digest, "plain_scan": plain_scan,
 }
 _MERGED = "CASE WHEN regexp_matches(species, '[A-Z]$') THEN regexp_replace(species, '_[^_]*$', '') ELSE species END"
+
+
+def _all_counts_sql() -> str:
+    """Every place of the documents' letters tried for each enzyme and strand."""
+    longest, every = max(e.length for e in enzymes.ENZYMES), enzymes.ENZYMES
+    counts = {e: " + ".join(f"count(*) FILTER (regexp_matches(w, '^{p}'))" for p in e.patterns) for e in every}
+    return f"""{_seqs_sql()}, w AS (SELECT substr(seq, i, {longest}) AS w FROM (SELECT seq, unnest(range(1, length(seq) + 1)) AS i FROM seqs)),
+      c AS (SELECT {', '.join(f"{n} AS e{e.id}" for e, n in counts.items())} FROM w),
+      counts AS (SELECT unnest([{', '.join(f"'{e.name}'" for e in every)}]) AS enzyme, unnest([{', '.join(f'e{e.id}' for e in every)}]) AS tags FROM c)"""
+
+
+_DIMENSION = ", ".join(f"({e.id}, '{e.name}', {e.length}, {e.palindromic}, {e.unit}, {e.expected})" for e in enzymes.ENZYMES)
 ORACLES = {
+    "digest_all_counts": f"WITH {_all_counts_sql()} SELECT enzyme, tags FROM counts",
+    "enzyme_dimension": f"""WITH {_all_counts_sql()}, d(id, name, length, palindromic, unit, expected) AS (VALUES {_DIMENSION})
+        SELECT d.*, tags FROM d JOIN counts ON name = enzyme WHERE tags > 0""",
     **{k: v[1] for k, v in DIGESTS.items()},
     "tag_keys": f"WITH {_DB} SELECT tag, printf('%08d%04d', genome_id, copies) AS key, genome_id, copies FROM master",
     "stats_recount": f"""WITH {_DB}, n AS (SELECT taxon, genome_id, count(*) AS genome_tags FROM master WHERE tag IN (SELECT tag FROM confined) GROUP BY ALL),
