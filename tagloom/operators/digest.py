@@ -55,6 +55,14 @@ def genome_tags(genomes: DataFrame, enzyme: Enzyme, keys: list[str], seq: str =
     return hits.groupBy(*keys, "tag").agg(F.count("*").alias("copies"))
 
 
+def padded_genome_tags(genomes: DataFrame, enzyme: Enzyme, keys: list[str], seq: str = "seq", width: int = 40) -> DataFrame:
+    """D3: the older form of ``genome_tags``: tags as read on either strand, palindromic sites on both, filled with 0 on the left."""
+    hits = digest(genomes.select(*keys, seq), enzyme, seq)
+    if enzyme.palindromic:
+        hits = hits.unionByName(hits.withColumn("tag", S.reverse_complement(F.col("tag"))))
+    return hits.groupBy(*keys, F.lpad("tag", width, "0").alias("tag")).agg(F.count("*").alias("copies"))
+
+
 def first_hit(df: DataFrame, enzyme: Enzyme, seq: str = "seq", qual: str = "qual", read_length: int = 50) -> DataFrame:
     """Leftmost hit of the first pattern that has one, in the first bases; adds tag and tag_qual.
 

@@ -73,6 +73,19 @@ def lenient_files(spark, sf_dir):
     return fastx.read_fasta_lenient(spark, f"{path}/*.gz").select("seqname", "seq")
 
 
+def sequence_files(spark, sf_dir):
+    """Reads by the reader that looks at the files first."""
+    path = _folder(spark)
+    reads = table(spark, sf_dir, "fastq_records").where("seq <> '' and qual <> ''")
+    sinks.write_records(reads, sinks.fastq_record(F.col("header"), F.col("seq"), F.col("qual")), path)
+    return fastx.read_sequences(spark, path).groupBy("header", "seq").agg(F.count("*").alias("n"))
+
+
+def padded_tags(spark, sf_dir):
+    """D3: tags of documents in the older form."""
+    return D.padded_genome_tags(tags.sequences(spark, sf_dir), omics.ALFI, ["doc_id"])
+
+
 def padded_references(spark, sf_dir):
     """Reference tags of the SNP search, padded."""
     refs = omics._references(D.digest(tags.sequences(spark, sf_dir).select("doc_id", "seq"), omics.ALFI))
@@ -243,6 +256,22 @@ def legacy_ids(spark, sf_dir):
     return R.legacy_id_map(genomes).withColumn("shard_size", F.lit(R.shard_size(genomes)))
 
 
+def database_dump(spark, sf_dir):
+    """B2, O1: the master tags of a database as FASTA and back."""
+    path = _folder(spark)
+    R.build_database(_document_genomes(spark, sf_dir).drop("mt_from"), BCGI, f"{path}/db", size=100)
+    sinks.dump_tags(spark.read.parquet(f"{path}/db/master_tags"), f"{path}/dump")
+    return fastx.read_fasta(spark, f"{path}/dump").select("seqname", "seq")
+
+
+def taxonomy_files(spark, sf_dir):
+    """The numbered genomes as a compressed list, as it is written."""
+    path = _folder(spark)
+    numbered = checkpointed(R.assign_ids(R.valid_entries(table(spark, sf_dir, "database_genomes")), "reassign", 500))
+    sinks.write_taxonomy(numbered, path, R.LINEAGE)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 # --- models -----------------------------------------------------------------------------------
 
 
@@ -270,6 +299,7 @@ def forest_calls(spark, sf_dir):
 QUERIES = {
     "fastq_files": fastq_files, "digest_files": digest_files, "lenient_files": lenient_files, "padded_references": padded_references,
     "profiling_files": profiling_files, "sheet_files": sheet_files, "serial_files": serial_files, "genome_files": genome_files,
+    "sequence_files": sequence_files, "padded_tags": padded_tags, "database_dump": database_dump, "taxonomy_files": taxonomy_files,
     "matrix_files": matrix_files, "kraken_files": kraken_files, "quant_files": quant_files, "qc_files": qc_files, "profile_files": profile_files,
     "site_files": site_files, "mapping_totals": mapping_totals, "all_species": all_species, "database_numbers": database_genomes_numbered,
     "database_totals": database_totals, "database_shards": database_shards, "legacy_ids": legacy_ids, "model_calls": model_calls, "forest_calls": forest_calls,
@@ -297,6 +327,12 @@ _NUMBERED = f"""{_HITS}, g AS (SELECT doc_id, taxon, coalesce(kind_code, 'none')
 
 ORACLES = {
     "fastq_files": "SELECT header, seq, qual, NULL::VARCHAR AS problem, count(*) AS n FROM fastq_records WHERE seq <> '' AND qual <> '' GROUP BY ALL",
+    "sequence_files": "SELECT substr(header, 2) AS header, upper(seq) AS seq, count(*) AS n FROM fastq_records WHERE seq <> '' AND qual <> '' GROUP BY ALL",
+    "padded_tags": f"WITH {tags._hits_sql(omics.ALFI)}, b AS (SELECT doc_id, tag FROM hits UNION ALL SELECT doc_id, {omics._rc('tag')} FROM hits) SELECT doc_id, lpad(tag, 40, '0') AS tag, count(*) AS copies FROM b GROUP BY ALL",
+    "database_dump": f"""WITH {_HITS}, k AS (SELECT doc_id, taxon, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM seqs)
+      SELECT printf('%08d', k) || '_' || count(*) AS seqname, tag AS seq FROM hits JOIN k USING (doc_id) GROUP BY k, tag""",
+    "taxonomy_files": f"""WITH {omics._VALID}, k AS (SELECT *, row_number() OVER (ORDER BY source_id) - 1 AS k FROM v)
+      SELECT concat_ws(chr(9), lpad(k::VARCHAR, 8, '0'), {', '.join(f"coalesce({c}, '')" for c in R.LINEAGE)}, coalesce(genome_path, '')) AS line FROM k""",
     "digest_files": f"WITH {_NAMED_HITS}",
     "lenient_files": f"WITH {_NAMED_HITS}",
     "padded_references": f"WITH {tags._hits_sql(omics.ALFI)} SELECT DISTINCT least(tag, {omics._rc('tag')}) AS tag, least(tag, {omics._rc('tag')}) || repeat('A', 58) AS padded FROM hits",

@@ -143,6 +143,15 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """(path, header, seq) of FASTQ or FASTA files, whichever the first line that isn't blank shows."""
+    first = spark.read.text(path).where("trim(value) <> ''").select(F.substring("value", 1, 1)).first()
+    if first is None or first[0] not in ("@", ">"):
+        raise ValueError(f"neither FASTA nor FASTQ: {path}")
+    records = scan_fastq(spark, path) if first[0] == "@" else read_fasta(spark, path)
+    return records.select("path", F.regexp_replace("header", r"\A@", "").alias("header"), F.upper("seq").alias("seq"))
+
+
 def sniff(path: str) -> str:
     """``fastq`` or ``fasta`` by the first non-blank line."""
     for line in _lines(path):
