@@ -19,6 +19,7 @@ from tagloom.operators import model
 from tagloom.operators import multiomics as O
 from tagloom.operators import profile as P
 from tagloom.operators import refdb as R
+from tagloom.operators.reads import manifest_long
 from tagloom.plans import omics, tags
 from tagloom.session import checkpoint_dir, checkpointed, table
 from tagloom.sources import fastx, sinks, tables
@@ -30,12 +31,15 @@ def _folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
-def _text(df: DataFrame, line, path: str, header: str | None = None) -> None:
-    """One line a row; a header stands at the top of the only file of a small table."""
-    lines = df.select(line.alias("value"))
-    if header:
-        lines = df.sparkSession.createDataFrame([(header,)], "value string").unionByName(lines).coalesce(1)
-    lines.write.text(path)
+def _text(df: DataFrame, line, path: str) -> None:
+    """One line a row."""
+    df.select(line.alias("value")).write.text(path)
+
+
+def _sheet(df: DataFrame, path: str) -> None:
+    """Columns split by tabs, as they are, under a header."""
+    plain = {"quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.options(sep="\t", header=True, **plain).csv(path)
 
 
 def _tabbed(*columns: str):
@@ -110,7 +114,7 @@ def profiling_files(spark, sf_dir):
 def sheet_files(spark, sf_dir):
     """A sheet of the libraries, with their reads."""
     path = _folder(spark)
-    _text(table(spark, sf_dir, "serial_manifest"), _tabbed("library_id", "r1"), path, "sample_id\tread1")
+    _sheet(table(spark, sf_dir, "serial_manifest").select(F.col("library_id").alias("sample_id"), F.col("r1").alias("read1")), path)
     sheet = tables.sample_sheet(spark, path, ("read1",)).select(F.col("sample_id").alias("sample"), "read1")
     return sheet.join(_library_reads(spark, sf_dir), "sample", "left")
 
@@ -118,10 +122,7 @@ def sheet_files(spark, sf_dir):
 def serial_files(spark, sf_dir):
     """The manifest as a file; samples of each library with its reads."""
     path = _folder(spark)
-    names = ("library_id", "r1", "r2", "t1", "t2", "t3", "t4", "t5")
-    _text(table(spark, sf_dir, "serial_manifest"), _tabbed(*names), path, "\t".join(names))
-    from tagloom.operators.reads import manifest_long
-
+    _sheet(table(spark, sf_dir, "serial_manifest").select("library_id", "r1", "r2", "t1", "t2", "t3", "t4", "t5"), path)
     return manifest_long(tables.serial_manifest(spark, path)).join(_library_reads(spark, sf_dir).withColumnRenamed("sample", "library_id"), "library_id", "left")
 
 
@@ -161,7 +162,9 @@ def quant_files(spark, sf_dir):
     path = _folder(spark)
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     meta = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.translate("o_orderpriority", " ", "_").alias("sample")).agg(F.count("*").alias("ch"), F.max("c_acctbal").alias("ve"))
-    _text(meta, F.concat_ws("   ", "sample", "ch", F.format_string("%.2f", "ve"), F.lit("100"), F.lit("10")), path, "# volumes\nSample_ID CH VE VD VL")
+    lines = meta.select(F.concat_ws("   ", "sample", "ch", F.format_string("%.2f", "ve"), F.lit("100"), F.lit("10")).alias("value"))
+    heads = spark.createDataFrame([("# volumes",), ("Sample_ID CH VE VD VL",)], "value string")
+    lines.unionByName(heads).write.text(path)
     abundance = omics._line_abundance(spark, sf_dir).withColumn("sample", F.translate("sample", " ", "_"))
     return O.absolute(abundance, tables.quant_metadata(spark, path), "Brand#11")
 
