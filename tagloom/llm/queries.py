@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,7 +94,43 @@ QUERIES = {
 
 _KEY = r"""nullif(regexp_replace(regexp_extract(id, '^[\s\x0b\x{85}\p{Z}]*[@>]*[\s\x0b\x{85}\p{Z}]*([^\s\x0b\x{85}\p{Z}]+)', 1), '/[12]\z', ''), '')"""
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _form_sql(column: str) -> str:
+    """The table's form of a text: what DuckDB's NFC leaves is replaced character by character."""
+    one, more, hidden = {}, {}, []
+    for c in map(chr, [*range(0x80, 0xD800), *range(0xF900, 0x10000)]):
+        seen = lookalike.fold(c)
+        if not seen:
+            hidden.append(ord(c))
+        elif seen != unicodedata.normalize("NFC", c):
+            (one if len(seen) == 1 else more)[c] = seen
+    out = f"regexp_replace({column}, '[{''.join(f'\\x{{{x:X}}}' for x in hidden)}]', '', 'g')"
+    for c, seen in more.items():
+        out = f"replace({out}, {_quoted(c)}, {_quoted(seen)})"
+    return f"nfc_normalize(translate({out}, {_quoted(''.join(one))}, {_quoted(''.join(one.values()))}))"
+
+
+_FORMS = f"forms AS (SELECT doc_id, text, {_form_sql('text')} AS form FROM documents WHERE text <> '')"
+_GRAMS = """{name} AS (SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS gram FROM (
+      SELECT {key}, regexp_extract_all(lower({form}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {source}))"""
+_LEAKS = f"""{_GRAMS.format(name='i', key='item_id', form=_form_sql('text'), source="benchmark WHERE text <> ''")},
+      d AS (SELECT DISTINCT doc_id, gram FROM (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS gram FROM (
+        SELECT doc_id, regexp_extract_all(lower(form), '[\\p{{L}}\\p{{N}}]+') AS w FROM forms)) SEMI JOIN i USING (gram)),
+      leaks AS (SELECT DISTINCT doc_id, item_id FROM d JOIN i USING (gram))"""
+
 ORACLES = {
+    "p7_found": f"WITH {_FORMS}, {_LEAKS} SELECT doc_id, item_id FROM leaks",
+    "p7_clean": f"WITH {_FORMS}, {_LEAKS} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM leaks)",
+    "p8_found": f"""WITH {_FORMS}, several AS (SELECT form FROM forms GROUP BY form HAVING min(text) <> max(text)), s AS (SELECT * FROM forms SEMI JOIN several USING (form))
+      SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM s a JOIN s b ON a.form = b.form AND a.text <> b.text AND a.doc_id < b.doc_id""",
+    "p8_classes": f"""WITH {_FORMS}, own AS (SELECT form, text, count(*) AS own FROM forms GROUP BY ALL),
+      c AS (SELECT form, sum(own)::BIGINT AS every, count(*) AS writings FROM own GROUP BY form), m AS (SELECT form, min(doc_id) AS class FROM forms GROUP BY form)
+      SELECT doc_id, class, writings, every - own AS links FROM forms JOIN own USING (form, text) JOIN c USING (form) JOIN m USING (form)""",
     "p2_found": f"""
       WITH rows AS (
         SELECT 'forward' AS side, arrival_no, {_KEY} AS k FROM forward_seen
