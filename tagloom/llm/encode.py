@@ -13,6 +13,7 @@ The vocabulary has a fixed size and travels as a broadcast; its path is a parame
 from __future__ import annotations
 
 import base64
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -113,7 +114,7 @@ def encode_corpus(
             lists = [encoding.encode_ordinary(t) if t else [] for t in batch.column("_text").to_pylist()]
             offsets = np.zeros(len(lists) + 1, dtype=np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
-            flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=int(offsets[-1]))
+            flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(offsets[-1]))
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), ids], names=names)
 
