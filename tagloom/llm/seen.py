@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import checkpointed
+
 SLICE_KEYS = 400_000
 EPOCHS = 16
 BITS = 64
@@ -151,8 +153,13 @@ def arrivals(df: DataFrame, side: str, order: str, key: Column) -> DataFrame:
     )
 
 
-def _fingerprint(bits: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64("key"), BITS - bits) if bits < BITS else F.xxhash64("key")
+def fingerprints(rows: DataFrame) -> DataFrame:
+    """(side, order_no, fp) of arrivals, made once and stored: keys are long and costly to bring to their form."""
+    return checkpointed(rows.select("side", "order_no", F.xxhash64("key").alias("fp")))
+
+
+def _first_bits(fp: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(fp, BITS - bits) if bits < BITS else fp
 
 
 class _Fold:
@@ -180,23 +187,23 @@ class _Fold:
         return fresh
 
 
-def first_arrivals(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> DataFrame:
-    """(side, fp, order_no): the first arrival of each fingerprint of so many bits by folding the filters."""
-    facts = rows.agg(F.count("*"), F.min("order_no"), F.max("order_no")).first()
+def first_arrivals(prints: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> DataFrame:
+    """(side, fp, order_no): the first arrival of each of the ``fingerprints``, cut to so many bits, by folding the filters."""
+    facts = prints.agg(F.count("*"), F.min("order_no"), F.max("order_no")).first()
     n, low, top = facts[0], facts[1] or 0, facts[2] or 0
     width = max(1, -(-(top - low + 1) // epochs))
     slice_bits, quotient_bits, remainder_bytes = layout(n, bits)
     inner = quotient_bits + 8 * remainder_bytes
 
-    fingerprints = (
-        rows.select("side", "order_no", _fingerprint(bits).alias("fp"))
+    reduced = (
+        prints.withColumn("fp", _first_bits(F.col("fp"), bits))
         .groupBy("side", F.floor((F.col("order_no") - low) / width).cast("int").alias("epoch"), "fp")
         .agg(F.min("order_no").alias("order_no"))
         .select("side", (F.shiftrightunsigned("fp", inner).cast("int") if slice_bits else F.lit(0)).alias("slice"), "epoch", "fp", "order_no")
     )
     # by the bits below the slice's as unsigned numbers
     place = F.col("fp").bitwiseAND(F.lit((1 << inner) - 1)) if inner < 64 else F.col("fp").bitwiseXOR(F.lit(-(1 << 63)))
-    in_order = fingerprints.repartition("side", "slice").sortWithinPartitions("side", "slice", "epoch", place)
+    in_order = reduced.repartition("side", "slice").sortWithinPartitions("side", "slice", "epoch", place)
 
     def run(batches):
         fold = _Fold(quotient_bits, remainder_bytes)
@@ -225,12 +232,8 @@ def seen_before(rows: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     part of it. Rows that share key and order_no are not earlier than each other. The row set
     minus the first arrivals needs no join on the key, so a hot key can't skew it.
     """
-    first = first_arrivals(rows, epochs)
-    return (
-        rows.select("side", "order_no", _fingerprint(BITS).alias("fp"))
-        .join(first, ["order_no", "fp", "side"], "left_anti")
-        .select("side", "order_no")
-    )
+    prints = fingerprints(rows)
+    return prints.join(first_arrivals(prints, epochs), ["order_no", "fp", "side"], "left_anti").select("side", "order_no")
 
 
 def error_rates(rows: DataFrame, bits: tuple[int, ...] = (24, 32, 40, 64), epochs: int = EPOCHS) -> DataFrame:
@@ -242,9 +245,11 @@ def error_rates(rows: DataFrame, bits: tuple[int, ...] = (24, 32, 40, 64), epoch
     exact = rows.groupBy("side", "key").agg(F.min("order_no").alias("order_no"), F.count("*").alias("n"))
     totals = exact.groupBy("side").agg(F.sum("n").alias("rows"), F.count("*").alias("keys"))
 
+    prints = fingerprints(rows)
+
     def wrong(b: int) -> DataFrame:
-        missed = exact.select("side", "order_no", _fingerprint(b).alias("fp")).join(
-            first_arrivals(rows, epochs, b), ["order_no", "fp", "side"], "left_anti"
+        missed = exact.select("side", "order_no", _first_bits(F.xxhash64("key"), b).alias("fp")).join(
+            first_arrivals(prints, epochs, b), ["order_no", "fp", "side"], "left_anti"
         )
         return missed.groupBy("side").agg(F.count("*").alias("wrong")).select("side", F.lit(b).alias("bits"), "wrong")
 
