@@ -25,6 +25,8 @@ from tagloom.session import checkpoint_dir, checkpointed, table
 from tagloom.sources import fastx, sinks, tables
 
 BCGI = enzymes.select("BcgI")[0]
+#: labelled rows that the forest is fitted on
+FIT_ROWS = 5000
 
 
 def _folder(spark: SparkSession) -> str:
@@ -247,7 +249,8 @@ def database_totals(spark, sf_dir):
 def database_shards(spark, sf_dir):
     """Master tags of the translated genomes from their shards alone, looked up among the unique tags."""
     path = _database(spark, sf_dir)
-    ids = spark.read.parquet(f"{path}/genomes").where("source_id >= 'D000000500'").select("genome_id")
+    added = table(spark, sf_dir, "documents").where("mt_from is not null").select(F.format_string("D%09d", "doc_id").alias("source_id"))
+    ids = spark.read.parquet(f"{path}/genomes").join(added, "source_id", "left_semi").select("genome_id")
     master = R.master_of(spark, path, ids, R.shard_size(spark.read.parquet(f"{path}/genomes")))
     found = R.look_up(spark, path, master).select("tag").distinct()
     return master.join(found, "tag").groupBy("shard").agg(F.count("*").alias("relations"), F.count_distinct("tag").alias("tags"))
@@ -288,14 +291,14 @@ def model_calls(spark, sf_dir):
 
 
 def forest_calls(spark, sf_dir):
-    """L1: a forest that tells reads with an ambiguous base by their numbers; fitted on the first piece's reads."""
+    """L1: a forest that tells reads with an ambiguous base by their numbers; fitted on ``FIT_ROWS`` reads, applied to all."""
     reads = table(spark, sf_dir, "fastq_records").where("seq <> '' and qual <> ''")
     rows = reads.select(
         "rec_no", "piece_no", F.length("seq").cast("double").alias("length"), S.bases_above(F.col("qual"), 20).cast("double").alias("good"),
         F.length(F.translate(F.upper("seq"), "AT", "")).cast("double").alias("gc"), (~S.only_acgt(F.col("seq"))).cast("int").alias("truth"),
     )
     names = ("length", "good", "gc")
-    fit = model.fit_forest(rows.where("truth is not null").orderBy("rec_no").limit(5000), "truth", trees=10, names=names)
+    fit = model.fit_forest(rows.where("truth is not null").orderBy("rec_no").limit(FIT_ROWS), "truth", trees=10, names=names)
     return model.predict_forest(fit, rows, names).groupBy("truth", "pred").agg(F.count("*").alias("n"))
 
 
@@ -360,7 +363,7 @@ ORACLES = {
     "database_totals": f"""WITH {_NUMBERED} SELECT (SELECT count(*) FROM master) AS relations, (SELECT count(DISTINCT tag) FROM master) AS tags, (SELECT sum(copies)::BIGINT FROM master) AS copies,
       count(*) AS unique_rows, count(DISTINCT tag) AS unique_tags, 0::BIGINT AS violations, (SELECT count(*) FROM master) AS written, 100::BIGINT AS shard_size FROM uniq""",
     "database_shards": f"""WITH {_NUMBERED} SELECT shard::BIGINT AS shard, count(*) AS relations, count(DISTINCT tag) AS tags FROM master JOIN genomes USING (doc_id)
-      WHERE printf('D%09d', doc_id) >= 'D000000500' AND tag IN (SELECT tag FROM uniq) GROUP BY shard""",
+      WHERE doc_id IN (SELECT doc_id FROM ids WHERE added) AND tag IN (SELECT tag FROM uniq) GROUP BY shard""",
     "legacy_ids": f"WITH {omics._VALID}, k AS (SELECT row_number() OVER (ORDER BY source_id) - 1 AS k FROM v) SELECT 'legacy_' || lpad(k::VARCHAR, 8, '0') AS source_id, lpad(k::VARCHAR, 8, '0') AS genome_id, 400 AS shard_size FROM k",
     "model_calls": f"WITH {tags._DB} SELECT sample, taxon || '_' || upper(sample[1]) AS species, (ln(g_score) > 3)::INT::DOUBLE AS prob, (ln(g_score) > 3)::INT AS pred FROM prof",
 }
