@@ -4,11 +4,13 @@ import gzip
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom import enzymes
 from tagloom.operators import refdb as R
+from tagloom.plans import files, registry
 from tagloom.sources import fastx, sinks, tables
 
 RNG = random.Random(8)
@@ -128,3 +130,36 @@ def test_tables_of_sites_and_profiles(spark, tmp_path):
     sinks.write_tsv(df, f"{tmp_path}/many", ["k"])
     back = tables.read_tsv(spark, f"{tmp_path}/many")
     assert back.count() == 1000 and back.columns == ["k", "v"]
+
+
+def test_matrix_of_more_samples_than_columns_fit(spark, tmp_path):
+    """21,000 samples, more than the 10,000 that the query took and the 20,480 columns of Spark's reader."""
+    n = 21_000
+    name = "if(id = 7, 'r000008', concat(if(id % 2 = 0, '#r', 'R'), lpad(cast(id as string), 6, '0')))"  # names that differ by case only
+    cells = spark.range(n).selectExpr("id as entry_id", f"{name} as sample_id", "concat(' sp ', cast(id % 3 as string)) as species", "if(id % 5 = 0, null, id / 20000.0D) as abundance")
+    twice = cells.where("entry_id < 1000").withColumn("abundance", F.col("abundance") + 0.0000005)  # ties of the rounding
+    cells.unionByName(twice).repartition(4).write.parquet(f"{tmp_path}/rna_species_abundance.parquet")
+    got = files.matrix_files(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view rna_species_abundance as select * from '{tmp_path}/rna_species_abundance.parquet/*.parquet'")
+    want = con.execute(registry.ORACLES["matrix_files"]).fetchall()
+    assert len(want) == 3 * n and sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_matrix_of_odd_cells(spark, tmp_path):
+    df = spark.createDataFrame([("b", "t", 0.25), ("b", "t", 0.5), ("a", "s", None), ("c", None, 3.0)], "species string, sample string, value double")
+    sinks.write_matrix(df, f"{tmp_path}/m", "species", "sample", "value", [None, "s", "t"])
+    lines = [r[0] for r in spark.read.text(f"{tmp_path}/m").collect()]
+    assert [x for x in lines if x != "species\t\ts\tt"] == ["a\t0\t0\t0", "b\t0\t0\t0.75", "c\t0\t0\t0"]
+    m = tables.wide_matrix(spark, f"{tmp_path}/m", "species")
+    assert sorted(map(tuple, m.collect()), key=repr) == sorted(((r, s, 0.75 if (r, s) == ("b", "t") else 0.0) for r in "abc" for s in (None, "s", "t")), key=repr)
+    sinks.write_matrix(df.limit(0), f"{tmp_path}/none", "species", "sample", "value", [])
+    assert tables.wide_matrix(spark, f"{tmp_path}/none", "species").count() == 0
+    with pytest.raises(ValueError):
+        sinks.write_matrix(df, f"{tmp_path}/bad", "species", "sample", "value", ["s", "t\tu"])
+    for k, text in enumerate(("Kingdom\tSpecies\tFamily\ts1\ts2\nK\tx\tF\t0.5\n", "Species\ts1\ts1\nx\t1\t1\n", "Species\ts1\nx\t\n", "Species\ts1\nx\tNaN\n")):
+        (tmp_path / f"w{k}").write_text(text)
+        with pytest.raises(ValueError):
+            tables.wide_matrix(spark, f"{tmp_path}/w{k}", "Species", ("Kingdom", "Family"))
+    (tmp_path / "ranks").write_text("#Kingdom\tSpecies\tFamily\ts1\ts2\nK\tx\tF\t0.5\t1\n")
+    assert sorted(map(tuple, tables.wide_matrix(spark, f"{tmp_path}/ranks", "Species", ("Kingdom", "Family")).collect())) == [("x", "s1", 0.5), ("x", "s2", 1.0)]
